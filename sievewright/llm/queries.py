@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievewright.llm import licenses, packing
+from sievewright.llm import licenses, minhash, packing
 from sievewright.llm.common import read
 
 
@@ -16,6 +16,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(spark, read(spark, sf_dir, "documents"), minhash.Plan(words=3, numerator=85))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -25,6 +29,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_license_scan": op9_license_scan,
 }
