@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sievewright.llm import licenses, minhash, packing
+from sievewright.llm import licenses, minhash, packing, sharding
 from sievewright.llm.common import read
 
 
@@ -16,6 +17,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the packing evens out bytes first, so the law is `bytes`
+    placed = sharding.shard(spark, read(spark, sf_dir, "documents"), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens"
+    )
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, read(spark, sf_dir, "documents"), minhash.Plan(words=3, numerator=85))
 
@@ -29,6 +38,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_sharding": op1_vector_sharding,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_license_scan": op9_license_scan,
