@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import licenses, minhash, packing, sharding
+from sievewright.llm import licenses, minhash, packing, sharding, topk
 from sievewright.llm.common import read
 
 
@@ -33,6 +33,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_sharding": op1_vector_sharding,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_exact_topk": op8_exact_topk,
     "op9_license_scan": op9_license_scan,
 }
 
