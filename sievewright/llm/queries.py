@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import licenses, minhash, packing, sharding, topk
-from sievewright.llm.common import read
+from sievewright.llm import langid, licenses, minhash, packing, sharding, topk
+from sievewright.llm.common import bucket_of_id, read
 
 
 def vocabulary(name: str) -> str:
@@ -29,6 +29,13 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, read(spark, sf_dir, "documents"), minhash.Plan(words=3, numerator=85))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = bucket_of_id("doc_id", 3) == 1
+    trees = langid.train(docs.where(~held_out).select("text", "lang"))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), trees).select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -44,6 +51,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_sharding": op1_vector_sharding,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op8_exact_topk": op8_exact_topk,
     "op9_license_scan": op9_license_scan,
