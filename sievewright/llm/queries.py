@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import langid, licenses, minhash, packing, sharding, topk
+from sievewright.llm import langid, licenses, minhash, packing, quality, sharding, topk
 from sievewright.llm.common import bucket_of_id, read
 
 
@@ -40,6 +40,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", bucket_of_id("doc_id", 5) == 0)
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where(bucket_of_id("doc_id", 5) != 0)
+    model = quality.train(docs.where(~F.col("held_out")).select("doc_id", "text"), labels)
+    scored = quality.score(docs.select("doc_id", "held_out", "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -53,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_quality_pu": op6_quality_pu,
     "op8_exact_topk": op8_exact_topk,
     "op9_license_scan": op9_license_scan,
 }
