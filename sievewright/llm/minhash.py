@@ -6,13 +6,14 @@ threshold: a pair just at it misses every band with a probability of at most `mi
 
 From buckets to links without all pairs of a bucket:
 1. Equal shingle sets become one node first, so exact copies cost one row each.
-2. In every bucket each node is paired with one pivot, another one in each bucket. Pairs that survive the size bound and
-   a one-bit sketch of the signature are confirmed on the full sets; confirmed links make components.
+2. In every bucket each node is paired with one pivot, another one in each bucket. Pairs within the bounds below are
+   confirmed on the full sets; confirmed links make components.
 3. Buckets whose nodes then lie in different components remain. Their nodes outside the bucket's largest component are
    paired with all nodes of other components there, filtered and confirmed alike. Pairs inside a component need no test:
    one more link there changes nothing.
-So every pair of a bucket is confirmed, refused by a bound, or already connected. The sketch refuses a pair at the
-threshold with a probability of about 1e-7 (5.5 standard deviations).
+So every pair of a bucket is confirmed, refused by a bound, or already connected. Both bounds are exact, they refuse no linked
+pair: sizes must be within the threshold of each other, and the odd sketches of two sets (bit h mod m is flipped by each
+shingle h) differ in at most as many bits as the sets differ in shingles, which the threshold limits.
 
 Defined results: null, empty and wordless texts have an empty set, link with nothing and keep themselves; a text with fewer
 words than a shingle is one shingle; repeated rows are in the group of their set, and each row is returned; a row without
@@ -50,6 +51,8 @@ class Plan:
     rows: int = 5
     miss: float = 1e-6
     seed: int = 17
+    sketch_bits: int = 2048
+    head: int = 8
 
     @property
     def bands(self) -> int:
@@ -60,16 +63,6 @@ class Plan:
     def permutations(self) -> int:
         return -(-self.bands * self.rows // 2)
 
-    @property
-    def apart(self) -> int:
-        """Sketch bits that a linked pair may differ in."""
-        n, p = 2 * self.permutations, (1 - self.numerator / self.denominator) / 2
-        return math.ceil(n * p + 5.5 * math.sqrt(n * p * (1 - p)))
-
-    @property
-    def longs(self) -> int:
-        return -(-2 * self.permutations // 64)
-
 
 class Shingler:
     """Distinct shingle hashes of texts, sorted; word hashes are kept for the next texts."""
@@ -129,15 +122,16 @@ class Signer:
             key ^= key >> np.uint64(31)
         return key.view(np.int64)
 
-    def sketch(self, signature: np.ndarray) -> np.ndarray:
-        bits = ((signature * _MIX2) >> np.uint64(63)).astype(np.uint8)
-        packed = np.packbits(np.concatenate([bits, np.zeros(self.plan.longs * 64 - len(bits), np.uint8)]))
-        return packed.view(np.int64)
+
+def odd_sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """The parity of the shingles of each residue, packed into longs."""
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
-    """doc_id, tkey, n_shingles, set_id, bands, sketch of every document."""
-    schema = "doc_id long, tkey long, n_shingles long, set_id binary, bands array<long>, sketch array<long>"
+    """doc_id, tkey, n_shingles, set_id, bands of every document."""
+    schema = "doc_id long, tkey long, n_shingles long, set_id binary, bands array<long>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, sign = Shingler(plan.words), Signer(plan)
@@ -145,11 +139,10 @@ def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
             rows = []
             for doc_id, text, tkey in zip(batch["doc_id"].array, batch["text"].array, batch["tkey"].array, strict=True):
                 if len(own := shingle(text if isinstance(text, str) else None)):
-                    signature = sign(own)
-                    rows.append((doc_id, tkey, len(own), xxhash.xxh3_128_digest(own.tobytes()), sign.bands(signature), sign.sketch(signature)))
+                    rows.append((doc_id, tkey, len(own), xxhash.xxh3_128_digest(own.tobytes()), sign.bands(sign(own))))
                 else:
-                    rows.append((doc_id, tkey, 0, None, None, None))
-            yield pd.DataFrame(rows, columns=["doc_id", "tkey", "n_shingles", "set_id", "bands", "sketch"]).astype({"doc_id": "Int64"})
+                    rows.append((doc_id, tkey, 0, None, None))
+            yield pd.DataFrame(rows, columns=["doc_id", "tkey", "n_shingles", "set_id", "bands"]).astype({"doc_id": "Int64"})
 
     return _slim(docs).mapInPandas(run, schema)
 
@@ -165,9 +158,10 @@ def _sets(texts: DataFrame, plan: Plan) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
-                yield pd.DataFrame({"nid": part["nid"], "shingles": [shingle(t).view(np.int64) for t in part["text"]]})
+                made = [shingle(t) for t in part["text"]]
+                yield pd.DataFrame({"nid": part["nid"], "n": [len(x) for x in made], "sketch": [odd_sketch(x, plan.sketch_bits) for x in made], "shingles": [x.view(np.int64) for x in made]})
 
-    return texts.select("nid", "text").mapInPandas(run, "nid long, shingles array<long>")
+    return texts.select("nid", "text").mapInPandas(run, "nid long, n long, sketch array<long>, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
@@ -180,11 +174,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     return pairs.join(one, "b").join(two, "a").where(plan.denominator * common.cast("long") >= plan.numerator * union.cast("long")).select("a", "b")
 
 
+def _facts(sets: DataFrame, plan: Plan, side: str) -> DataFrame:
+    """nid and what the bounds need of it, named by a side; the sketch's first longs are columns of their own, which compare faster."""
+    head = [F.col("sketch")[k].alias(f"head{k}_{side}") for k in range(plan.head)]
+    return sets.select(F.col("nid").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"), *head)
+
+
 def _near(plan: Plan):
     """The bounds that every linked pair meets, on its sizes and sketches."""
     size = plan.denominator * F.least("n_a", "n_b") >= plan.numerator * F.greatest("n_a", "n_b")
-    apart = sum(F.bit_count(F.col("sketch_a")[k].bitwiseXOR(F.col("sketch_b")[k])) for k in range(plan.longs))
-    return size & (apart <= plan.apart)
+    # a linked pair differs in at most (1 - t) / (1 + t) of its n_a + n_b shingles
+    most = (F.col("n_a") + F.col("n_b")) * (plan.denominator - plan.numerator)
+    whole = plan.denominator + plan.numerator
+    begun = sum(F.bit_count(F.col(f"head{k}_a").bitwiseXOR(F.col(f"head{k}_b"))) for k in range(plan.head)) * whole
+    # the whole sketch by a lambda: spelt out, it makes the join's code too long for the JVM to compile
+    apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
+    return size & (begun <= most) & (apart * whole <= most)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
@@ -194,7 +199,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -
     nodes = (
         signed.where("set_id is not null")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "tkey")).alias("own"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "tkey")).alias("own"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
         .withColumn("nid", F.monotonically_increasing_id())
     )
     nodes = work.table(nodes, "nodes")
@@ -205,17 +210,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -
         .select("bucket", F.col("least").bitwiseXOR(F.col("bucket")).alias("pivot"))
     )
     members = work.table(buckets.join(shared, "bucket").select("bucket", "nid", "pivot"), "members")
-    needed = members.select("nid").distinct()
-    facts = nodes.join(needed, "nid").select("nid", "n", "sketch", F.col("own.doc_id").alias("own_id"), F.col("own.tkey").alias("own_key"))
-    facts = work.table(facts, "facts")
-    rows = _slim(docs).alias("d").join(facts.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.own_id")) & (F.col("d.tkey") == F.col("f.own_key")))
-    texts = rows.select("nid", "text")
-    sets = work.table(_sets(texts, plan).dropDuplicates(["nid"]), "sets")
+    needed = nodes.join(members.select("nid").distinct(), "nid").select("nid", F.col("own.doc_id").alias("own_id"), F.col("own.tkey").alias("own_key"))
+    texts = _slim(docs).alias("d").join(needed.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.own_id")) & (F.col("d.tkey") == F.col("f.own_key")))
+    sets = work.table(_sets(texts.dropDuplicates(["nid"]), plan), "sets")
 
     def tested(pairs: DataFrame, label: str) -> DataFrame:
-        a = facts.select(F.col("nid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-        b = facts.select(F.col("nid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
-        near = pairs.join(a, "a").join(b, "b").where(_near(plan)).select("a", "b")
+        near = pairs.join(_facts(sets, plan, "a"), "a").join(_facts(sets, plan, "b"), "b").where(_near(plan)).select("a", "b")
         return work.table(_confirmed(near, sets, plan), label)
 
     links = tested(members.select(F.col("nid").alias("a"), F.col("pivot").alias("b")).where("a <> b").distinct(), "star-links")
@@ -225,11 +225,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -
     parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("size")).groupBy("bucket").agg(
         F.count("*").alias("parts"), F.max_by("comp", "size").alias("largest")
     )
-    mixed = work.table(
-        placed.join(parts.where("parts > 1").drop("parts"), "bucket").join(facts.select("nid", "n", "sketch"), "nid"), "mixed"
-    )
-    minor = mixed.where("comp <> largest").select("bucket", F.col("nid").alias("a"), F.col("comp").alias("comp_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    other = mixed.select("bucket", F.col("nid").alias("b"), F.col("comp").alias("comp_b"), F.col("largest").alias("largest_b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    mixed = work.table(placed.join(parts.where("parts > 1").drop("parts"), "bucket"), "mixed")
+    minor = mixed.where("comp <> largest").select("bucket", F.col("nid").alias("a"), F.col("comp").alias("comp_a")).join(_facts(sets, plan, "a"), "a")
+    other = mixed.select("bucket", F.col("nid").alias("b"), F.col("comp").alias("comp_b"), F.col("largest").alias("largest_b")).join(_facts(sets, plan, "b"), "b")
     # both minor: one direction is enough
     once = (F.col("comp_b") == F.col("largest_b")) | (F.col("a") < F.col("b"))
     across = minor.join(other, "bucket").where((F.col("comp_a") != F.col("comp_b")) & once & _near(plan)).select("a", "b").distinct()
