@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import langid, licenses, minhash, packing, quality, sharding, topk
+from sievewright.llm import langid, licenses, minhash, packing, quality, sharding, topk, toxicity
 from sievewright.llm.common import bucket_of_id, read
 
 
@@ -25,6 +25,14 @@ def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", bucket_of_id("doc_id", 5) == 0)
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.train(spark, toxicity.graded(spark, docs.where(~F.col("held_out")), labels))
+    scored = toxicity.predict(docs.select("doc_id", "held_out", "text"), model)
+    return scored.select("doc_id", "held_out", "severity", "grade", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, read(spark, sf_dir, "documents"), minhash.Plan(words=3, numerator=85))
 
@@ -58,6 +66,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_sharding": op1_vector_sharding,
+    "op2_toxicity_ordinal": op2_toxicity_ordinal,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
