@@ -17,7 +17,7 @@ shingle h) differ in at most as many bits as the sets differ in shingles, which
 
 Defined results: null, empty and wordless texts have an empty set, link with nothing and keep themselves; a text with fewer
 words than a shingle is one shingle; repeated rows are in the group of their set, and each row is returned; a row without
-doc_id takes the smallest doc_id that it reaches (null if none) and is kept only if it reaches none; texts are used whole; an
+doc_id takes the smallest doc_id that it reaches (null if none) and is kept only if it reaches no row with one; texts are used whole; an
 empty table gives no rows; extra columns are ignored.
 """
 
@@ -193,7 +193,11 @@ def _near(plan: Plan):
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text)."""
+    """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
+
+    Also text_key (xxhash64 of the text), and representative: true for the rows of the group's smallest doc_id and text_key, nulls first,
+    which is one document of each group even where ids are missing.
+    """
     work = Workspace(spark, "minhash")
     signed = work.table(signatures(docs, plan), "signed")
     nodes = (
@@ -235,11 +239,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -
     work.drop("members", "sets", "mixed")
     found = work.table(components(work, links.union(more)), "components")
 
-    of_node = nodes.join(found.withColumnRenamed("node", "nid"), "nid", "left").select("set_id", "least_id", F.coalesce("comp", "nid").alias("comp"))
-    least = of_node.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-    of_set = of_node.join(least, "comp").select("set_id", "component_id")
-    return signed.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left").select(
+    of_node = nodes.join(found.withColumnRenamed("node", "nid"), "nid", "left").select("set_id", "least_id", "own", F.coalesce("comp", "nid").alias("comp"))
+    least = of_node.groupBy("comp").agg(F.min("least_id").alias("component_id"), F.min("own").alias("first"))
+    of_set = of_node.join(least, "comp").select("set_id", "component_id", "first")
+    alone = F.col("set_id").isNull()
+    return signed.select("doc_id", "tkey", "n_shingles", "set_id").join(of_set, "set_id", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, True).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
+        F.col("tkey").alias("text_key"),
+        F.when(alone, True).otherwise(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey"))).alias("representative"),
+    )

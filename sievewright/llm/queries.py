@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import langid, licenses, minhash, packing, quality, sharding, topk, toxicity
+from sievewright.llm import decontam, langid, licenses, minhash, packing, quality, sharding, topk, toxicity
 from sievewright.llm.common import bucket_of_id, read
 
 
@@ -34,7 +34,8 @@ def op2_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(spark, read(spark, sf_dir, "documents"), minhash.Plan(words=3, numerator=85))
+    found = minhash.near_duplicates(spark, read(spark, sf_dir, "documents"), minhash.Plan(words=3, numerator=85))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = decontam.flag(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return flagged.select("doc_id", (F.col("items") > 0).alias("contaminated"), "item_id", "coverage", "tiles", "items")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_sharding": op1_vector_sharding,
     "op2_toxicity_ordinal": op2_toxicity_ordinal,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_pu": op6_quality_pu,
     "op8_exact_topk": op8_exact_topk,
     "op9_license_scan": op9_license_scan,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
