@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import decontam, langid, licenses, minhash, packing, quality, sharding, topk, toxicity
+from sievewright.llm import decontam, langid, licenses, minhash, packing, quality, sharding, topk, toxicity, urlfilter
 from sievewright.llm.common import bucket_of_id, read
 
 
@@ -57,6 +57,10 @@ def op6_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict", "score", "words")
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_pu": op6_quality_pu,
+    "op7_url_filter": op7_url_filter,
     "op8_exact_topk": op8_exact_topk,
     "op9_license_scan": op9_license_scan,
     "op10_decontamination": op10_decontamination,
