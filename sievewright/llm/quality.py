@@ -21,9 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.llm.common import labelled_sample, sample_by_hash
+
 _PUNCT = [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]
 N_FEATURES = len(_PUNCT) + 19
 
@@ -117,25 +119,15 @@ def _vectors(docs: DataFrame, keep: list[str]) -> DataFrame:
     return docs.select(*keep, "text").mapInPandas(run, f"{fields}, x array<double>")
 
 
-def sample(docs: DataFrame, most: int, kind: str) -> DataFrame:
-    """At most `most` distinct texts of each value of `kind`, chosen by hash."""
-    rows = docs.where("text is not null").select(F.col("text").cast("string").alias("text"), kind, F.xxhash64("text").alias("h"))
-    share = rows.groupBy(kind).agg((F.lit(2.0 * most) / F.approx_count_distinct("h")).alias("share"))
-    few = rows.join(share, kind).where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
-    few = few.groupBy(kind, "h").agg(F.first("text").alias("text"))
-    return few.withColumn("nth", F.row_number().over(Window.partitionBy(kind).orderBy("h"))).where(F.col("nth") <= most).select("text", kind)
-
-
 def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, positives: int = 4000, unlabelled: int = 8000) -> Model:
     """docs: doc_id, text. labels: doc_id, label (0, 1 or null); only these are trusted. prior: None to estimate it."""
     trusted = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     share = trusted.agg(F.avg(F.col("label").cast("double")).alias("ones"), F.min("label").alias("least")).first()
-    chosen = docs.join(trusted.where("label = 1").select("doc_id", F.lit(1).alias("label")), "doc_id", "left").select(
-        "text", F.explode(F.when(F.col("label") == 1, F.array(F.lit(1), F.lit(0))).otherwise(F.array(F.lit(0)))).alias("positive")
-    )
-    found = _vectors(sample(chosen, max(positives, unlabelled), "positive"), ["positive"]).toPandas()
+    ones = labelled_sample(docs, trusted.where("label = 1"), positives).select("text", F.lit(1).alias("positive"))
+    web = sample_by_hash(docs.withColumn("positive", F.lit(0)), "positive", unlabelled)
+    found = _vectors(ones.union(web), ["positive"]).toPandas()
     x = np.array(found["x"].tolist(), float).reshape(len(found), N_FEATURES)
-    p, u = x[found["positive"] == 1][:positives], x[found["positive"] == 0][:unlabelled]
+    p, u = x[found["positive"] == 1], x[found["positive"] == 0]
     if not len(p) or not len(u):
         return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES + 1), 0.5)
     centre, width = u.mean(axis=0), u.std(axis=0) + 1e-3
