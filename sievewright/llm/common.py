@@ -48,10 +48,12 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/sievewright-{name}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
+        self.made = 0
         atexit.register(self._clean)
 
     def table(self, df: DataFrame, label: str) -> DataFrame:
-        path = f"{self.root}/{label}-{len(self.paths)}"
+        self.made += 1
+        path = f"{self.root}/{label}-{self.made}"
         df.write.parquet(path)
         self.paths[label] = path
         return self.spark.read.schema(df.schema).parquet(path)
@@ -60,7 +62,6 @@ class Workspace:
         for label in labels:
             if path := self.paths.pop(label, None):
                 remove(self.spark, path)
-                self.paths[f"{label}:{path}"] = ""
 
     def _clean(self) -> None:
         try:

@@ -134,10 +134,11 @@ def unigrams(pages: DataFrame, text: str, vocabulary: int) -> dict[str, int]:
     return {r["w"]: r["n"] for r in sums.orderBy(F.desc("n"), "w").limit(vocabulary).collect()}
 
 
-def train(pages: DataFrame, counts: dict[str, int], seeds=SEEDS, tokens_kept: int = 200_000) -> tuple[Segmenter, Bayes]:
+def train(pages: DataFrame, counts: dict[str, int], seeds=SEEDS, tokens_kept: int = 200_000, seed_weight: float = 8.0) -> tuple[Segmenter, Bayes]:
     """The splitter with the seeds as words, and naive Bayes of the weak labels of all pages (host, path).
 
-    Only the `tokens_kept` most frequent tokens, by text where equal, are kept as the model.
+    Only the `tokens_kept` most frequent tokens, by text where equal, are kept as the model. A seed's log odds for
+    block are at least `seed_weight`, which decides where few pages hold it.
     """
     usual = max(1, sorted(counts.values())[len(counts) // 2]) if counts else 1
     splitter = Segmenter({**counts, **{w: max(counts.get(w, 0), usual, 5) for w in seeds}})
@@ -162,7 +163,9 @@ def train(pages: DataFrame, counts: dict[str, int], seeds=SEEDS, tokens_kept: in
     rows = sums.orderBy(F.desc(F.col("0") + F.col("1")), "t").limit(tokens_kept + 1).collect()
     seen = {r["t"]: (r["0"], r["1"]) for r in rows}
     of_class = seen.pop("", (0, 0))
-    return splitter, Bayes({(t, k): n for t, both in seen.items() for k, n in enumerate(both) if n}, of_class)
+    bayes = Bayes({(t, k): n for t, both in seen.items() for k, n in enumerate(both) if n}, of_class)
+    bayes.weight.update({t: max(seed_weight, bayes.weight.get(t, 0.0)) for t in marked})
+    return splitter, bayes
 
 
 def judge(pages: DataFrame, rules=RULES, vocabulary: int = 50_000, seeds=SEEDS, threshold: float = 0.5) -> DataFrame:

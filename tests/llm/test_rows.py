@@ -1,0 +1,215 @@
+"""Sharding, packing, licences and exact search against brute force."""
+
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sievewright.llm import licenses, packing, queries, sharding, topk
+from tests.llm.helpers import LONG, documents, edge_docs, edge_rows, empty_docs
+
+
+def _vocabulary():
+    return queries.vocabulary("byte_bpe_50k.json"), queries.vocabulary("byte_bpe_50k.tiktoken")
+
+
+# sharding
+
+
+def test_shards_are_even_and_keep_groups(spark, small):
+    rows = queries.op1_vector_sharding(spark, small).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in documents(spark).collect())
+    size, slots, homes = Counter(), defaultdict(list), defaultdict(set)
+    for r in rows:
+        size[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+        homes[r.text_crc32, r["size"]].add(r.shard)
+    assert set(size) == set(range(8)) and max(size.values()) < 1.02 * min(size.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(h) == 1 for h in homes.values())
+    texts = {r.doc_id: r.text for r in documents(spark).collect()}
+    for r in rows:
+        raw = texts[r.doc_id].encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "bytes", None)
+
+
+def test_shards_cut_a_group_that_is_too_large(spark):
+    docs = spark.createDataFrame([(i, "the same text") for i in range(600)] + [(1000 + i, f"text number {i}") for i in range(600)], "doc_id long, text string")
+    rows = sharding.shard(spark, docs, shards=4).collect()
+    count = Counter(r.shard for r in rows)
+    assert len(rows) == 1200 and max(count.values()) < 1.1 * min(count.values())
+
+
+def test_shards_of_odd_rows(spark):
+    rows = sharding.shard(spark, edge_docs(spark), shards=3).collect()
+    assert len(rows) == len(edge_rows())
+    assert {r["size"] for r in rows if r.doc_id in (1, 2)} == {1}
+    assert sharding.shard(spark, empty_docs(spark)).count() == 0
+
+
+def test_a_unit_goes_where_the_dot_product_is_highest():
+    loads = np.array([[40, 1, 1], [40, 1, 1], [10, 30, 1], [10, 30, 1]])
+    at = sharding.place(loads, 2)
+    assert at[0] != at[1] and at[2] != at[3]
+
+
+# packing
+
+
+def _packed(spark, docs):
+    return packing.pack(spark, docs, *_vocabulary()).collect()
+
+
+def _check_packing(rows, texts, capacity=2048):
+    encode = packing.encoder(_vocabulary()[0])
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for spans in by_sequence.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    for doc_id, text in texts.items():
+        ids = np.array([*(encode(text) if text else []), 0], dtype="<u4")
+        own = sorted(by_doc[doc_id], key=lambda r: r.piece)
+        assert [r.piece for r in own] == list(range(len(own)))
+        assert [(r.start, r.start + r.length) for r in own] == list(itertools.pairwise([0, *(r.start + r.length for r in own)]))
+        assert own[-1].start + own[-1].length == len(ids)
+        assert all(r.length == capacity for r in own[1:])
+        assert len(own) == -(-len(ids) // capacity)
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own)
+    return sum(r.length for r in rows), len(by_sequence)
+
+
+def test_packing_round_trip(spark):
+    docs = documents(spark)
+    tokens, sequences = _check_packing(_packed(spark, docs), {r.doc_id: r.text for r in docs.collect()})
+    assert sequences <= -(-tokens // 2048) * 1.02 + 1
+
+
+def test_packing_of_odd_rows(spark):
+    rows = _packed(spark, edge_docs(spark))
+    own = {i: t for i, t, *_ in edge_rows() if i is not None and i != 6}
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    assert [r.length for r in rows if r.doc_id in (1, 2)] == [1, 1]
+    assert sum(r.doc_id is None for r in rows) == 2 and sum(r.doc_id == 6 for r in rows) == 2
+    assert sum(r.length for r in rows if r.doc_id == 7) == len(packing.encoder(_vocabulary()[0])(own[7])) + 1
+    assert packing.pack(spark, empty_docs(spark), *_vocabulary()).count() == 0
+
+
+def test_both_encoders_agree():
+    plain, quick = packing.encoder(_vocabulary()[0]), packing.encoder(*_vocabulary())
+    for text in ["It's 1990,  isn't  it?\n\n\tüber naïve", "<|endoftext|> a <| b", "漢字 и ß\u0085x", "a" * 5000, LONG[:3000], "x \r\n y  "]:
+        assert plain(text) == quick(text)
+
+
+def test_bins_are_best_fit_and_bounded():
+    rng = random.Random(1)
+    bins, free = packing.Bins(100, 8), {}
+    for _ in range(3000):
+        length = rng.randint(1, 100)
+        fits = [f for f in free.values() if f >= length]
+        number, offset = bins.put(length)
+        if fits:
+            assert free[number] == min(fits) and offset == 100 - min(fits)
+        else:
+            assert number not in free and offset == 0
+        left = free.pop(number, 100) - length
+        if left:
+            if len(free) >= 8:
+                least = min(free.values())
+                closed = [k for k, v in free.items() if v == least and k not in {x for s in bins.by_free.values() for x in s}]
+                assert len(closed) == 1
+                del free[closed[0]]
+            free[number] = left
+
+
+# licences
+
+
+def _places(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    at, labels = [], set()
+    for phrase, label in licenses.BASE.items():
+        p = phrase.split()
+        here = [i for i in range(len(words) - len(p) + 1) if words[i : i + len(p)] == p]
+        at += here
+        labels |= {label} if here else set()
+    return len(words), at, labels
+
+
+EXTRA = [
+    (9000100, "Released UNDER the MIT License. under the mit license under the  mit-license!"),
+    (9000101, "Apache License, Version 2.0; cc by nc cc BY-NC cc by nd"),
+    (9000102, "This work is licensed under the GNU General Public License, version 3."),
+    (9000103, "under the mit"),
+]
+
+
+def test_licence_scan_against_brute_force(spark):
+    docs = documents(spark, "sf0.01").select("doc_id", "text").union(spark.createDataFrame(EXTRA, "doc_id long, text string"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in licenses.scan(docs).collect():
+        n, at, labels = _places(texts[r.doc_id])
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (n, len(at), min(at, default=None), max(at, default=None))
+        assert r.base_labels == ",".join(sorted(labels)) and labels <= set(r.labels.split(",")) | {""}
+        assert 0 <= r.score <= 1 and (r.score > 0) == (r.labels != "")
+        assert r.doc_id != 9000102 or r.labels == "gpl-3"
+
+
+def test_licence_scan_of_odd_rows(spark):
+    rows = licenses.scan(edge_docs(spark)).collect()
+    assert len(rows) == len(edge_rows())
+    assert all((r.n_words, r.n_base, r.labels, r.score) == (0, 0, "", 0.0) for r in rows if r.doc_id in (1, 2, 3))
+    assert licenses.scan(empty_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text, ends",
+    [("a b", 2), ("a x b", 3), ("a x y b", 4), ("a x y z b", -1), ("a b c", 3), ("a", -1)],
+)
+def test_automaton_regions(text, ends):
+    x = licenses.Automaton("t", "a {any:2} b [[c]]")
+    assert x.match(text.encode().split(), 0) == ends
+
+
+# exact search
+
+
+def _best(rows, k, scale=256):
+    sound = [(i, [int(np.floor(scale * float(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = set()
+    for q, a in {i: v for i, v in sound if i % 50 == 0}.items():
+        found = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in sound if i != q and len(b) == len(a))
+        out |= {(q, n, i, -s) for n, (s, i) in enumerate(found[:k], 1)}
+    return out
+
+
+def test_top_k_against_brute_force(spark, small):
+    rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    assert {tuple(r) for r in queries.op8_exact_topk(spark, small).collect()} == _best(rows, 5)
+
+
+def test_top_k_of_odd_rows(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.choice((0.0, 0.5, -0.25)) for _ in range(4)]) for i in range(120)]
+    rows += [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(200, 230)]
+    rows += [(300, None), (301, [float("nan"), 1.0, 1.0, 1.0]), (302, [float("inf"), 1.0, 1.0, 1.0]), (303, [None, 1.0, 1.0, 1.0]), (350, [1.0, 2.0]), (None, [1.0, 1.0, 1.0, 1.0]), (351, [3.0, 1.0])]
+    frame = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, score int, q string")
+    for chunk in (4096, 2):
+        found = topk.top_k(spark, frame, F.col("vec_id") % 50 == 0, k=5, bins=16, chunk=chunk).collect()
+        assert {tuple(r) for r in found} == _best(rows, 5) and len(found) == len(_best(rows, 5))
+    assert topk.top_k(spark, frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_scores_are_exact_beyond_floats():
+    a, b = np.array([[2**27, 1]]), np.array([[2**27, 1], [2**27, 2]])
+    assert topk.scores(a, b).tolist() == [[2**54 + 1, 2**54 + 2]]
