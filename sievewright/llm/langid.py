@@ -19,9 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.llm.common import sample_by_hash
+
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _LETTERS_ONLY = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -163,12 +165,7 @@ class Trees:
 
 def train(docs: DataFrame, order: int = 3, rows_per_language: int = 1500) -> Trees:
     """Trees of every language in docs (text, lang), each from at most `rows_per_language` distinct whole texts, chosen by hash."""
-    rows = docs.where("text is not null and lang is not null").select(F.col("text").cast("string").alias("text"), "lang", F.xxhash64("text").alias("h"))
-    share = rows.groupBy("lang").agg((F.lit(2.0 * rows_per_language) / F.approx_count_distinct("h")).alias("share"))
-    few = rows.join(share, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
-    few = few.groupBy("lang", "h").agg(F.first("text").alias("text"))
-    first = Window.partitionBy("lang").orderBy("h")
-    few = few.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= rows_per_language)
+    few = sample_by_hash(docs, "lang", rows_per_language)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -178,7 +175,7 @@ def train(docs: DataFrame, order: int = 3, rows_per_language: int = 1500) -> Tre
                     gram, n = np.unique(grams(data, size)[order:], return_counts=True)
                     yield pd.DataFrame({"lang": lang, "size": size, "gram": gram.view(np.int64), "n": n})
 
-    counts = few.select("lang", "text").mapInPandas(count, "lang string, size int, gram long, n long")
+    counts = few.mapInPandas(count, "lang string, size int, gram long, n long")
     found = counts.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).toPandas()
     return Trees(sorted(found["lang"].unique()), order, found)
 
