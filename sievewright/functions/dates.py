@@ -75,14 +75,13 @@ def parse(text) -> list[tuple[str, str, str, str]]:
     return out
 
 
-@F.pandas_udf(SCHEMA)
-def _all_dates(texts: pd.Series) -> pd.Series:
-    return texts.map(parse)
-
-
 def all_dates(x: Column) -> Column:
     """Every date of a text. Spans of several patterns exclude each other by priority, which no regular expression of the JVM's does."""
-    return _all_dates(x)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(parse)
+
+    return F.pandas_udf(run, SCHEMA)(x)
 
 
 def date_token(x: Column) -> Column:
