@@ -24,37 +24,46 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import Workspace, labelled_sample, sample_by_hash
+from sievewright.llm.common import Workspace, highest, labelled_sample, sample_by_hash
 
 _WORD = re.compile(r"[^\W\d_]+")
-_KNOWN = 100_000
+_KNOWN = 300_000
+#: The samples are small but their texts take long: they are dealt evenly.
+_TASKS = 24
+
+
+def strings(word: str) -> set[str]:
+    """A word's features: itself, and the character strings of 5 and 6 of it with its ends marked."""
+    marked = f"<{word}>"
+    return {word, *(marked[i : i + n] for n in (5, 6) for i in range(len(marked) - n + 1))}
 
 
 class Featuriser:
-    """Distinct feature numbers of a text; the strings of known words are kept."""
+    """Feature numbers of words, all or only those of some chosen ones (by their places there); known words' are kept."""
 
-    def __init__(self, bits: int):
+    def __init__(self, bits: int, chosen: np.ndarray | None = None):
         self.mask = (1 << bits) - 1
-        self.known: dict[str, np.ndarray] = {}
+        self.place = None if chosen is None else {int(f): k for k, f in enumerate(chosen)}
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def _word(self, word: str) -> np.ndarray:
-        marked = f"<{word}>"
-        parts = {word, *(marked[i : i + n] for n in (5, 6) for i in range(len(marked) - n + 1))}
-        return np.array([xxhash.xxh32_intdigest(p) & self.mask for p in parts], np.int64)
+    def _word(self, word: str) -> tuple[int, ...]:
+        numbers = {xxhash.xxh32_intdigest(p) & self.mask for p in strings(word)}
+        return tuple(numbers if self.place is None else (self.place[f] for f in numbers if f in self.place))
 
-    def words(self, text: str | None) -> list[np.ndarray]:
+    def words(self, text: str | None) -> list[tuple[int, ...]]:
+        """The features of each distinct word that has any."""
         if len(self.known) > _KNOWN:
             self.known.clear()
-        out = []
+        known, out = self.known, []
         for w in set(_WORD.findall(text.lower())) if isinstance(text, str) else ():
-            if (f := self.known.get(w)) is None:
-                f = self.known[w] = self._word(w)
-            out.append(f)
+            if (f := known.get(w)) is None:
+                f = known[w] = self._word(w)
+            if f:
+                out.append(f)
         return out
 
     def __call__(self, text: str | None) -> np.ndarray:
-        found = self.words(text)
-        return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+        return np.array(sorted(set().union(*self.words(text))), np.int64)
 
 
 def _sigmoid(x):
@@ -67,12 +76,6 @@ class Model:
     def __init__(self, bits: int, chosen: np.ndarray, weights: np.ndarray, thresholds: np.ndarray, lowest: int):
         self.bits, self.chosen, self.weights, self.thresholds, self.lowest = bits, chosen, weights, thresholds, lowest
 
-    def pick(self, features: np.ndarray) -> np.ndarray:
-        if not len(self.chosen):
-            return np.empty(0, np.int64)
-        at = np.minimum(np.searchsorted(self.chosen, features), len(self.chosen) - 1)
-        return at[self.chosen[at] == features]
-
     def above(self, totals: np.ndarray) -> np.ndarray:
         """P(grade > k) of each text for each threshold."""
         return _sigmoid(totals[:, None] - self.thresholds[None, :])
@@ -121,7 +124,7 @@ def screen(sample: DataFrame, chosen: int, bits: int, least: float = 15.0, lift:
         featurise, sums = Featuriser(bits), np.zeros((2, 1 << bits), np.int32)
         for batch in batches:
             for text, grade in zip(batch["text"], batch["grade"], strict=True):
-                sums[int(grade > lowest), featurise(text)] += 1
+                sums[int(grade > lowest), list(set().union(*featurise.words(text)))] += 1
         there = np.nonzero(sums.any(axis=0))[0]
         yield pd.DataFrame({"f": there, "low": sums[0, there], "high": sums[1, there]})
 
@@ -139,22 +142,22 @@ def screen(sample: DataFrame, chosen: int, bits: int, least: float = 15.0, lift:
         for s, size in zip(cells, (float(n["low"]), float(n["high"])), strict=True)
     ]
     more = (F.col("high") + 0.5) / (n["high"] + 1) >= lift * (F.col("low") + 0.5) / (n["low"] + 1)
-    best = sums.where(both > 1).withColumn("g2", 2 * sum(parts)).where((F.col("g2") >= least) & more).orderBy(F.desc("g2"), "f").limit(chosen)
-    return np.array(sorted(r["f"] for r in best.select("f").collect()), np.int64)
+    found = sums.where(both > 1).withColumn("g2", 2 * sum(parts)).where((F.col("g2") >= least) & more)
+    return np.array(sorted(r["f"] for r in highest(found, "g2", chosen).select("f").collect()), np.int64)
 
 
-def train(spark: SparkSession, docs: DataFrame, rows: int = 8000, chosen: int = 4096, bits: int = 20) -> Model:
+def train(spark: SparkSession, docs: DataFrame, rows: int = 4000, chosen: int = 4096, bits: int = 20) -> Model:
     """A model of docs (text, grade): whole numbers, the lowest the mildest; grades between them that no row has are kept as levels."""
-    sample = Workspace(spark, "toxicity").table(sample_by_hash(docs.withColumn("grade", F.col("grade").cast("int")), "grade", rows), "sample")
+    sample = Workspace(spark, "toxicity").table(sample_by_hash(docs.withColumn("grade", F.col("grade").cast("int")), "grade", rows).repartition(_TASKS), "sample")
     ends = sample.agg(F.min("grade"), F.max("grade")).first()
     if ends[0] is None or ends[0] == ends[1]:
         return Model(bits, np.empty(0, np.int64), np.empty(0), np.empty(0), ends[0] or 0)
     model = Model(bits, screen(sample, chosen, bits), np.empty(0), np.empty(0), ends[0])
 
     def picked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        featurise = Featuriser(bits)
+        featurise = Featuriser(bits, model.chosen)
         for batch in batches:
-            yield pd.DataFrame({"grade": batch["grade"], "x": [model.pick(featurise(t)) for t in batch["text"]]})
+            yield pd.DataFrame({"grade": batch["grade"], "x": [featurise(t) for t in batch["text"]]})
 
     found = sample.mapInPandas(picked, "grade int, x array<long>").toPandas()
     model.weights, model.thresholds = fit([np.asarray(x, np.int64) for x in found["x"]], found["grade"].to_numpy() - ends[0], len(model.chosen), ends[1] - ends[0] + 1)
@@ -172,9 +175,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        featurise = Featuriser(own.bits)
+        featurise = Featuriser(own.bits, own.chosen)
         for batch in batches:
-            totals = np.array([own.weights[own.pick(featurise(t))].sum() for t in batch.column("text").to_pylist()]).reshape(-1)
+            totals = np.array([own.weights[featurise(t)].sum() for t in batch.column("text").to_pylist()]).reshape(-1)
             above = own.above(totals)
             edges = np.hstack([np.ones((len(totals), 1)), above, np.zeros((len(totals), 1))])
             grade = (edges[:, :-1] - edges[:, 1:]).argmax(axis=1) + own.lowest
@@ -185,21 +188,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return base.mapInArrow(run, StructType([*base.schema.fields]).add("severity", DoubleType()).add("grade", IntegerType()).add("score", DoubleType()))
 
 
-def graded(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = 8000, bits: int = 20, marks: int = 400, steps: tuple[int, ...] = (3,)) -> DataFrame:
+def graded(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = 4000, bits: int = 20, marks: int = 400, steps: tuple[int, ...] = (3,)) -> DataFrame:
     """text, grade of at most `most` distinct labelled texts of each label: labels of two levels (doc_id, label), spread to grades.
 
     A toxic text's grade is 1 and one more for each entry of `steps` that its number of distinct marked words exceeds; marked words hold one
     of the `marks` features that tell toxic texts from others best.
     """
-    two = Workspace(spark, "toxicity").table(labelled_sample(docs, labels, most).select("text", F.col("label").cast("int").alias("grade")), "labelled")
+    two = Workspace(spark, "toxicity").table(labelled_sample(docs, labels, most).select("text", F.col("label").cast("int").alias("grade")).repartition(_TASKS), "labelled")
     if two.select("grade").distinct().count() < 2:
         return two
     best = screen(two, marks, bits)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        featurise = Featuriser(bits)
+        featurise = Featuriser(bits, best)
         for batch in batches:
-            marked = [sum(bool(np.isin(f, best).any()) for f in featurise.words(t)) if g else 0 for t, g in zip(batch["text"], batch["grade"], strict=True)]
+            marked = [len(featurise.words(t)) if g else 0 for t, g in zip(batch["text"], batch["grade"], strict=True)]
             batch["grade"] = [int(g > 0) * (1 + sum(m > s for s in steps)) for m, g in zip(marked, batch["grade"], strict=True)]
             yield batch[["text", "grade"]]
 
