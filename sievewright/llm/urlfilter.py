@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.llm.common import Workspace, highest
+
 #: Rules of the contract: verdict, host and path (fixed values).
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -117,7 +119,7 @@ class Bayes:
 
 
 def unigrams(pages: DataFrame, text: str, vocabulary: int) -> dict[str, int]:
-    """The most frequent words of a column of all pages, tags left out, ties by the word."""
+    """The most frequent words of a column of all pages, at most `vocabulary`, tags left out."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: Counter[str] = Counter()
@@ -131,13 +133,14 @@ def unigrams(pages: DataFrame, text: str, vocabulary: int) -> dict[str, int]:
         yield pd.DataFrame(sums.items(), columns=["w", "n"]).astype({"w": "str", "n": "int64"})
 
     sums = pages.select(F.col(text).cast("string").alias(text)).mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    return {r["w"]: r["n"] for r in sums.orderBy(F.desc("n"), "w").limit(vocabulary).collect()}
+    sums = Workspace(pages.sparkSession, "urls").table(sums, "words")
+    return {r["w"]: r["n"] for r in highest(sums, "n", vocabulary).collect()}
 
 
 def train(pages: DataFrame, counts: dict[str, int], seeds=SEEDS, tokens_kept: int = 200_000, seed_weight: float = 8.0) -> tuple[Segmenter, Bayes]:
     """The splitter with the seeds as words, and naive Bayes of the weak labels of all pages (host, path).
 
-    Only the `tokens_kept` most frequent tokens, by text where equal, are kept as the model. A seed's log odds for
+    Only the most frequent tokens, at most `tokens_kept`, are kept as the model. A seed's log odds for
     block are at least `seed_weight`, which decides where few pages hold it.
     """
     usual = max(1, sorted(counts.values())[len(counts) // 2]) if counts else 1
@@ -160,8 +163,9 @@ def train(pages: DataFrame, counts: dict[str, int], seeds=SEEDS, tokens_kept: in
         yield pd.DataFrame([(t, k, n) for (t, k), n in sums.items()], columns=["t", "k", "n"]).astype({"t": "str", "k": "int32", "n": "int64"})
 
     sums = pages.select("host", "path").mapInPandas(count, "t string, k int, n long").groupBy("t").pivot("k", [0, 1]).agg(F.sum("n")).fillna(0)
-    rows = sums.orderBy(F.desc(F.col("0") + F.col("1")), "t").limit(tokens_kept + 1).collect()
-    seen = {r["t"]: (r["0"], r["1"]) for r in rows}
+    sums = Workspace(pages.sparkSession, "urls").table(sums.select("t", F.col("0").alias("of_0"), F.col("1").alias("of_1"), (F.col("0") + F.col("1")).alias("n")), "tokens")
+    rows = highest(sums, "n", tokens_kept + 1).collect()
+    seen = {r["t"]: (r["of_0"], r["of_1"]) for r in rows}
     of_class = seen.pop("", (0, 0))
     bayes = Bayes({(t, k): n for t, both in seen.items() for k, n in enumerate(both) if n}, of_class)
     bayes.weight.update({t: max(seed_weight, bayes.weight.get(t, 0.0)) for t in marked})
