@@ -14,7 +14,6 @@ equal results; texts are used whole; extra columns are ignored; an empty table g
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +24,12 @@ from pyspark.sql import functions as F
 from sievewright.llm.common import sample_by_hash
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _LETTERS_ONLY = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 _CHUNK = 1 << 19
 
 
 def has_letter(text) -> bool:
-    return isinstance(text, str) and _LETTER.search(text) is not None
+    return isinstance(text, str) and any(map(str.isalpha, text))
 
 
 def plain(text: str) -> bytes:
