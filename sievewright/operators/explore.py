@@ -61,6 +61,11 @@ def schema_profile(records: DataFrame, column: str = "value") -> DataFrame:
     return rows.select("field", "type", (F.col("occurrences") < F.col("records")).alias("optional"), "occurrences")
 
 
+def write_profile(profile: DataFrame, path: str) -> None:
+    """The profile as one JSON file of {field, type, optional, occurrences}, by field."""
+    profile.orderBy("field").coalesce(1).write.mode("overwrite").json(path)
+
+
 def values_at(record: Column, path: str) -> Column:
     """Trimmed texts of all scalar, non-null values at a path of a VARIANT record (explorer dialect)."""
     scalar = F.filter(paths.explore(record, path), lambda v: ~F.is_variant_null(v) & ~F.schema_of_variant(v).rlike("^(ARRAY|OBJECT)"))

@@ -296,6 +296,24 @@ def group_column(rules: list[Rule], root: Column) -> Column:
     return F.concat(*blocks) if len(blocks) > 1 else blocks[0]
 
 
+def _object_or_list(values: list[tuple[Rule, Column | None]]) -> Column:
+    """Ungrouped rules with [] in their targets: an object of the leaves that have a value, or without any a list of one item with the last
+    rule's default. So the shape follows the record.
+    """
+    last = values[-1][0]
+    empty = F.array(F.to_variant_object(F.create_map(F.lit(last.leaf), default(last)))).cast("variant")
+    there = [F.struct(F.lit(r.leaf).alias("key"), v.alias("value")) for r, v in values if v is not None]
+    if not there:
+        return empty
+    # a later rule of the same leaf wins
+    kept = F.aggregate(
+        F.filter(F.array(*there), lambda e: e["value"].isNotNull()),
+        F.create_map().cast("map<string,variant>"),
+        lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])),
+    )
+    return paths.let(kept, lambda m: F.when(F.size(m) > 0, F.to_variant_object(m)).otherwise(empty))
+
+
 def record_column(rules: list[Rule], root: Column) -> Column:
     """The mapped entity of one entity type's rules, as a struct: values in order, then groups, nested by their targets."""
     tree: dict = {}
@@ -308,15 +326,18 @@ def record_column(rules: list[Rule], root: Column) -> Column:
             node = node[p]
         node[parts[-1]] = value
 
+    listed: dict[str, list[tuple[Rule, Column | None]]] = {}
     for rule in (r for r in rules if not r.group):
         source, base = _source(rule), default(rule)
-        if source is None:
-            value = base
-        elif source.many:
-            value = source.build(rule, Context(root)).cast("variant")
+        value = None
+        if source is not None:
+            value = source.build(rule, Context(root))
+            value = value.cast("variant") if source.many else value
+        if "[]" in rule.target and rule.leaf:
+            listed.setdefault(rule.root, []).append((rule, value))
+            put(rule.root, _object_or_list(listed[rule.root]))
         else:
-            value = F.coalesce(source.build(rule, Context(root)), base)
-        put(rule.target, value)
+            put(rule.target, base if value is None else F.coalesce(value, base))
     groups: dict[str, list[Rule]] = {}
     for rule in rules:
         if rule.group:

@@ -130,6 +130,13 @@ def test_entity_types_choose_the_rules(mapped):
     assert mapped({"Type": "vessel"}, rule("t", "constant", "x")) == {}
 
 
+def test_ungrouped_targets_with_brackets_change_their_shape(mapped):
+    rules = (rule("l[].a", "path", "x"), rule("l[].b", "path", "y", target_type="list"), rule("m[].c", None, None))
+    records = [{"entity_type": "entity", **r} for r in ({"x": "1", "y": "2"}, {"x": "1"}, {"y": "2"}, {})]
+    assert [r["l"] for r in mapped(records, *rules)] == [{"a": "1", "b": "2"}, {"a": "1"}, {"b": "2"}, [{"b": []}]]
+    assert mapped(records[0], *rules)["m"] == [{"c": ""}]
+
+
 def test_rule_tables():
     rows = [
         {"Entity Type": " Individual ", "Final Json Path": "names[].n", "Group": "n", "S TYPE": " PATH ", "S": " a.b "},
