@@ -186,9 +186,12 @@ def judge(pages: DataFrame, rules=RULES, vocabulary: int = 50_000, seeds=SEEDS,
         tokens = [split(h, p) for h, p in zip(hosts, paths, strict=True)]
         return pd.DataFrame({"score": [model(t) for t in tokens], "words": [" ".join(t) for t in tokens]})
 
-    own = named.withColumn("found", scored("host", "path"))
+    judged = "_judged"
+    while judged in named.columns:
+        judged += "_"
+    own = named.withColumn(judged, scored("host", "path"))
     by_rule = fitting(rules, {rule: verdict for verdict, rule in rules})
-    by_score = F.when(F.col("found.score") > threshold, "block").otherwise("allow")
+    by_score = F.when(F.col(judged)["score"] > threshold, "block").otherwise("allow")
     return own.withColumn("rule", fitting(rules)).withColumn("verdict", F.coalesce(by_rule, by_score)).select(
-        *named.columns, "rule", "verdict", F.col("found.score").alias("score"), F.col("found.words").alias("words")
+        *(F.col(f"`{c}`") for c in named.columns), "rule", "verdict", F.col(judged)["score"].alias("score"), F.col(judged)["words"].alias("words")
     )

@@ -232,11 +232,12 @@ def test_urls_against_plain_rules(spark, small):
 
 
 def test_odd_urls(spark):
-    frame = spark.createDataFrame([(i, u, "<p>spam words</p>", "x", 1) for i, u in enumerate(ODD_URLS)], "page_id long, url string, html string, host string, score int")
+    frame = spark.createDataFrame([(i, u, "<p>spam words</p>", "x", 1, "mine") for i, u in enumerate(ODD_URLS)], "page_id long, url string, html string, host string, score int, _judged string")
     rows = urlfilter.judge(frame).collect()
     assert len(rows) == len(ODD_URLS)
     for r in rows:
         assert (r.host, r.path) == _split_host(ODD_URLS[r.page_id]) and r.rule == _rule(r.host, r.path)
+    assert {r._judged for r in rows} == {"mine"}
     words = {r.page_id: r.words for r in rows}
     assert "h:cheap h:pills" in words[13] and "h:casino h:win" in words[14]
     assert urlfilter.judge(frame.limit(0)).count() == 0
