@@ -1,12 +1,12 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-P(grade <= k) = sigmoid(threshold_k - w . x): one weight vector is shared by all ordered thresholds. x marks which of the chosen features a
-text holds: words, and character strings of 5 and 6 of its words with their ends marked, hashed. Features are screened first: the
+P(grade <= k) = sigmoid(threshold_k - w . x): one weight vector is shared by all ordered thresholds. x counts in how many distinct words of a
+text each chosen feature stands: words, and character strings of 5 and 6 of its words with their ends marked, hashed. Features are screened first: the
 executors count in how many training texts of each grade a feature stands, and the `chosen` ones with the highest G-squared against the
 lowest grade stay. The driver then fits weights and thresholds to the sample's chosen features. The expected severity is the
 sum of P(grade > k).
 
-Bounds: at most `rows` distinct training texts of each grade, chosen by hash; `chosen` features; 2^`bits` hash values.
+Bounds: about `rows` distinct training texts of each grade, chosen by hash; `chosen` features; 2^`bits` hash values.
 
 Defined results: null, empty and wordless texts have no features and get the severity of such a text; without training rows, or with one grade
 only, every severity is that grade (0 if none); repeated rows get equal results; texts are used whole; columns of docs with the names of the results are
@@ -16,7 +16,9 @@ replaced; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _KNOWN = 300_000
 #: The samples are small but their texts take long: they are dealt evenly.
 _TASKS = 24
+#: A feature counts for so many words of a text at most.
+_MOST = 5
 
 
 def strings(word: str) -> set[str]:
@@ -63,7 +67,9 @@ class Featuriser:
         return out
 
     def __call__(self, text: str | None) -> np.ndarray:
-        return np.array(sorted(set().union(*self.words(text))), np.int64)
+        """Features, each as often as distinct words have it, up to `_MOST` times."""
+        seen = Counter(chain.from_iterable(self.words(text)))
+        return np.array(sorted(f for f, n in seen.items() for _ in range(min(n, _MOST))), np.int64)
 
 
 def _sigmoid(x):
@@ -115,9 +121,9 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: i
     return w, np.concatenate([first, first + np.cumsum(np.exp(gaps))])
 
 
-def screen(sample: DataFrame, chosen: int, bits: int, least: float = 15.0, lift: float = 3.0) -> np.ndarray:
+def screen(sample: DataFrame, chosen: int, bits: int, least: float = 24.0, lift: float = 5.0) -> np.ndarray:
     """The features that tell higher grades from the lowest best: highest G-squared, at least `least` (chance alone gives that to
-    about one in ten thousand), and at least `lift` times as common in the higher grades; sorted by number."""
+    about one in a million), and at least `lift` times as common in the higher grades; sorted by number."""
     lowest = sample.agg(F.min("grade")).first()[0]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,7 +195,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def graded(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = 4000, bits: int = 20, marks: int = 400, steps: tuple[int, ...] = (3,)) -> DataFrame:
-    """text, grade of at most `most` distinct labelled texts of each label: labels of two levels (doc_id, label), spread to grades.
+    """text, grade of about `most` distinct labelled texts of each label: labels of two levels (doc_id, label), spread to grades.
 
     A toxic text's grade is 1 and one more for each entry of `steps` that its number of distinct marked words exceeds; marked words hold one
     of the `marks` features that tell toxic texts from others best.
