@@ -277,7 +277,7 @@ def _(t):
 
 @query(
     "map_conditional",
-    _per_order("""CAST(to_json({'first': coalesce(CAST(list_filter(lines, lambda x: x.flag = 'R')[1].n AS VARCHAR), 'none')}) AS VARCHAR)""").replace("'none')})", "'')})"),
+    _per_order("CAST(to_json({'first': coalesce(CAST(list_filter(lines, lambda x: x.flag = 'R')[1].n AS VARCHAR), '')}) AS VARCHAR)"),
 )
 def _(t):
     made = _mapped(_orders(t), _rule("first", "conditional_path", 'lines[].flag | "r" | lines[].n'))
