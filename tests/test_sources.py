@@ -9,7 +9,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sievewright import analyst, pipeline
+from sievewright import analyst, files, pipeline
 from sievewright.config import Source
 from sievewright.operators import enrich, explore, extract, staging
 from sievewright.plans import mapping, postnorm, prenorm
@@ -343,6 +343,35 @@ def test_readers_by_type(spark, tmp_path):
             pipeline.read(spark, path, source)
 
 
+def test_stages_from_file_to_file(spark, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    (tmp_path / "in.csv").write_text("kind,name,born\nE,Acme (x),3 May 1990\nE,Acme (x),\n")
+    (tmp_path / "pre.csv").write_text("source,entity_type,field,normalization_type,normalization_rule\nS,*,kind,enum,E=Organization\nS,Organization,name,before_parenthesis,\n")
+    (tmp_path / "fields.csv").write_text("source,entity_field\nS,kind\n")
+    (tmp_path / "map.xlsx").write_bytes(xlsx([
+        ["Entity Type", "Final Json Path", "Final Json Path Type", "Group", "S TYPE", "S"],
+        ["Organization", "names[].n", None, "n", "path", "name"],
+        ["Organization", "born[].date_full", None, "b", "path", "born"],
+        ["Organization", "type", None, None, "constant", "org"],
+    ]))
+    (tmp_path / "post.jsonl").write_text('{"priority": 1, "rule_type": "DATE_NORMALIZATION", "condition_path": "born"}\n')
+    assert files.ingest_table(spark, at("in.csv"), at("raw")) == 2
+    # the mapper chooses rules by its own type fields
+    files.pre_normalize_file(spark, "S", at("raw"), at("pre"), at("pre.csv"), at("fields.csv"))
+    typed = spark.read.text(at("pre")).select(F.replace("value", F.lit('"kind"'), F.lit('"entity_type"')).alias("record"))
+    jsonl.write(typed, at("typed"))
+    files.map_file(spark, at("typed"), at("map.xlsx"), at("mapped"), "S")
+    files.post_normalize_file(spark, at("mapped"), at("post.jsonl"), at("final"))
+    rows = sorted((json.loads(r.value) for r in spark.read.text(at("final")).collect()), key=lambda r: len(r["born"]))
+    assert [r["names"] for r in rows] == [[{"n": "Acme"}]] * 2 and all(r["type"] == "org" for r in rows)
+    assert rows[0]["born"] == [] and rows[1]["born"] == [{"date_full": "3 May 1990", "year": "1990", "month": "05", "day": "03"}]
+    (tmp_path / "a.xml").write_text(XML + "</list>", encoding="utf-8")
+    assert files.ingest_xml(spark, at("a.xml")) == 3 and (tmp_path / "a_raw.jsonl").exists()
+    for call in (lambda: files.ingest_table(spark, at("a.xml")), lambda: files.rule_table(spark, at("a.xml"))):
+        with pytest.raises(ValueError, match="suffix"):
+            call()
+
+
 def test_preprocessing_steps(spark):
     record = {"u": "https://h/a%20b", "n": "Ann Lee", "p": {"born": "3 May 1980, Town"}, "profile_data": {"profile_fields": {"Alias/es": "N/A", "Name": "x"}}, "keep": [1]}
     steps = [
