@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -43,12 +44,12 @@ def attach_profiles(rows: DataFrame, pages: DataFrame, images: DataFrame | None
     joined = named.join(own, "profile_key_", "left")
     local = F.array().cast("array<string>")
     if images is not None:
-        # a substring test has no key to join by: the few image names go to every task, if they are few
+        # a substring test has no key to join by: the image names go to every task as one literal, if they are not too many
         names = [r[0] for r in images.select(F.element_at(F.split("path", "/"), -1)).distinct().orderBy(F.lit(1)).limit(100_001).collect()]
         if len(names) > 100_000:
             raise ValueError("more than 100000 images: split the folder")
         key = F.col("profile_key_")
-        local = F.filter(F.array(*map(F.lit, names)), lambda n: F.contains(F.upper(n), key)) if names else local
+        local = F.filter(F.from_json(F.lit(json.dumps(names)), "array<string>"), lambda n: F.contains(F.upper(n), key))
     data = F.struct("profile_file", "profile_slug", F.col("page.fields").alias("profile_fields"), F.col("page.images").alias("image_urls"), local.alias("local_images"))
     return joined.withColumn("profile_data", F.when(F.col("page").isNotNull(), data)).drop("profile_key_", "page", "profile_file")
 
