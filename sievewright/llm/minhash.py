@@ -38,7 +38,7 @@ from sievewright.llm.components import components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 200_000
 
 
 @dataclass(frozen=True)

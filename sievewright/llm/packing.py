@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -77,11 +78,15 @@ def encoder(vocabulary: str, ranks: str | None = None):
 
     os.environ.setdefault("RAYON_NUM_THREADS", "1")
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    exact = Tokenizer.from_file(vocabulary)
+    @cache
+    def exact():  # loaded when a text needs it
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(vocabulary)
+
     if not ranks:
-        return lambda text: exact.encode(text, add_special_tokens=False).ids
+        return lambda text: exact().encode(text, add_special_tokens=False).ids
     import base64
 
     import public_tokenizers
@@ -94,7 +99,7 @@ def encoder(vocabulary: str, ranks: str | None = None):
     def encode(text: str) -> list[int]:
         if "<|" not in text and _COMMON.fullmatch(text):
             return quick.encode_ordinary(text)
-        return exact.encode(text, add_special_tokens=False).ids
+        return exact().encode(text, add_special_tokens=False).ids
 
     return encode
 
