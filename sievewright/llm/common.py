@@ -6,8 +6,9 @@ import atexit
 import re
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that end a word of the license contract: all ASCII but 0-9 and a-z, after lower-casing A-Z.
@@ -24,10 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if not where:
-        where = tempfile.mkdtemp(prefix="sievewright-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    return (where or _own_dir()).rstrip("/")
+
+
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="sievewright-")
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -91,13 +94,13 @@ def highest(rows: DataFrame, column: str, most: int) -> DataFrame:
 
 
 def sample_by_hash(docs: DataFrame, kind: str, most: int, literal: int = 1000) -> DataFrame:
-    """text and kind of at most `most` distinct texts of each value of `kind`, those of the smallest hashes; nulls take no part.
+    """text and kind of about `most` distinct texts of each value of `kind` (all, where there are fewer), chosen by their hashes; nulls take no part.
 
-    Each kind's share of hashes is a literal where there are at most `literal` kinds, so that no text moves before it is chosen; else
-    it is joined.
+    Their number is estimated to within a few percent, so no kind's texts need to meet in one task. Each kind's share of hashes is a literal
+    where there are at most `literal` kinds, so that no text moves before it is chosen; else it is joined.
     """
     rows = docs.where(F.col("text").isNotNull() & F.col(kind).isNotNull()).select(F.col("text").cast("string").alias("text"), kind, F.xxhash64("text").alias("h"))
-    share = rows.groupBy(kind).agg((F.lit(2.0 * most) / F.approx_count_distinct("h")).alias("share"))
+    share = rows.groupBy(kind).agg((F.lit(1.05 * most) / F.approx_count_distinct("h")).alias("share"))
     few = share.limit(literal + 1).collect()
     if not few:
         return rows.select("text", kind).limit(0)
@@ -106,23 +109,21 @@ def sample_by_hash(docs: DataFrame, kind: str, most: int, literal: int = 1000) -
         rows = rows.withColumn("share", F.try_element_at(of_kind, F.col(kind)))
     else:
         rows = rows.join(share, kind)
-    chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)).groupBy(kind, "h").agg(F.first("text").alias("text"))
-    nth = F.row_number().over(Window.partitionBy(kind).orderBy("h"))
-    return chosen.withColumn("nth", nth).where(F.col("nth") <= most).select("text", kind)
+    chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    return chosen.groupBy(kind, "h").agg(F.first("text").alias("text")).select("text", kind)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """text and label of at most `most` distinct texts of each label; docs: doc_id, text; labels: doc_id, label (the highest counts).
+    """text and label of about `most` distinct texts of each label; docs: doc_id, text; labels: doc_id, label (the highest counts).
 
-    Labels are chosen by a hash of their id first, at most 2 * most of each, and sent to the documents: no other text moves.
+    Labels are chosen by a hash of their id first, about 2 * most of each, and sent to the documents: no other text moves.
     """
     of_id = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label")).withColumn("h", F.xxhash64("doc_id"))
     counts = {r["label"]: r["count"] for r in of_id.groupBy("label").count().collect()}
     if not counts:
         return docs.select(F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("label")).limit(0)
-    nth = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    share = F.try_element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, 3.0 * most / n))), F.col("label"))
-    ids = of_id.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).withColumn("nth", nth).where(F.col("nth") <= 2 * most).select("doc_id", "label")
+    share = F.try_element_at(F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, 2.0 * most / n))), F.col("label"))
+    ids = of_id.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).select("doc_id", "label")
     return sample_by_hash(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "label", most)
 
 

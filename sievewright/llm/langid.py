@@ -162,7 +162,7 @@ class Trees:
 
 
 def train(docs: DataFrame, order: int = 3, rows_per_language: int = 1500) -> Trees:
-    """Trees of every language in docs (text, lang), each from at most `rows_per_language` distinct whole texts, chosen by hash."""
+    """Trees of every language in docs (text, lang), each from about `rows_per_language` distinct whole texts, chosen by hash."""
     few = sample_by_hash(docs, "lang", rows_per_language)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

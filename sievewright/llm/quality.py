@@ -9,7 +9,7 @@ inner term is negative, a step is taken against it, which keeps the model from f
 The class prior is estimated first: where zeros are among the trusted labels by the share of ones, else from the scores of a first
 model fitted to tell positives from unlabelled (mean over unlabelled by the mean over positives).
 
-Bounds: the model is fitted on the driver to at most `positives` + `unlabelled` rows of about 60 numbers each, chosen by hash.
+Bounds: the model is fitted on the driver to about `positives` + `unlabelled` rows of about 60 numbers each, chosen by hash.
 
 Defined results: null, empty and wordless texts have all-zero features and get the score of such a text; without any positives the score is the
 prior 0.5 everywhere; repeated rows get equal scores; texts are used whole; extra columns are ignored; an empty table gives no rows.
