@@ -125,7 +125,8 @@ def _chunk(work: Workspace, base: DataFrame, ids: np.ndarray, queries: np.ndarra
             if width[q] == 1:
                 kth[q] = low[q]
             else:
-                span[q] = width[q]
+                # the last bin may be partial: what lies past the old range's end is in lacks already
+                span[q] = min(width[q], span[q] - b * width[q])
                 width[q] = -(-width[q] // bins)
                 still.append(q)
         open_ = np.array(sorted(still), dtype=int)  # a query that has fewer candidates than k keeps them all
