@@ -1,9 +1,12 @@
 """URL filter: rules first, then segmented host and path words scored by multinomial naive Bayes.
 
 Host names concatenate words. The most probable split of each run of letters under a unigram model is found by the Viterbi algorithm; the unigram
-counts are those of the words of all pages, of which the `vocabulary` most frequent are used (a bound of the model, like the seeds that are
-added to it), and an unknown run costs more with each letter. Naive Bayes has two classes. Its training labels are weak ones: a page whose segmented host
-or path holds a seed word is an example to block, any other one to allow; token counts are taken over all pages, smoothed by 1.
+counts are those of the words of all pages, with the seeds added, and an unknown run costs more with each letter. Naive Bayes has two classes. Its
+training labels are weak ones: a page whose segmented host or path holds a seed word is an example to block, any other one to allow; token counts are
+taken over all pages, smoothed by 1.
+
+All counts stay written tables, however many there are. Distinct pairs of host and path are dealt by hash to parts of about `_PART`; a part meets only the
+counts of the pieces, and then of the tokens, that it holds, so that no key has more rows than there are parts.
 
 Defined results: a null url or one without `://` has an empty host and path, no rule, no tokens, and so the likelier class, where
 equal is allow; empty names and repeated rows are judged alike; urls are used whole; columns of pages with the names of the results are replaced;
@@ -16,12 +19,13 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import Workspace, highest
+from sievewright.llm.common import Workspace
 
 #: Rules of the contract: verdict, host and path (fixed values).
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -36,8 +40,12 @@ SEEDS = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RUNS = re.compile(r"[^\W\d_]+|\d+")
 _WORDS = re.compile(r"[^\W\d_]{1,20}")
+#: No word is longer.
+_LONGEST = 20
 _TAGS = re.compile(r"<[^>]*>")
 NUMBER = "0"
+#: About so many distinct pairs of host and path meet in one group.
+_PART = 1024
 
 
 def host(url: Column) -> Column:
@@ -63,8 +71,9 @@ def fitting(rules: list[tuple[str, str]], of: dict[str, str] | None = None) -> C
 class Segmenter:
     """Unigram Viterbi splits of runs of letters."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        """counts: those of a run's pieces are enough, where the total of all words is given."""
+        total = (sum(counts.values()) if total is None else total) + 1
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
         self.longest = max(map(len, counts), default=1)
         # an unknown run: as rare as one word in the total, and a factor of 10 rarer with each letter
@@ -104,22 +113,23 @@ class Segmenter:
 
 
 class Bayes:
-    """Multinomial naive Bayes of block against allow."""
+    """Multinomial naive Bayes of block against allow, for tokens whose counts (allow, block) are given."""
 
-    def __init__(self, counts: dict[tuple[str, int], int], pages: tuple[int, int]):
-        kinds = {t for t, _ in counts}
-        totals = [sum(n for (_, c), n in counts.items() if c == k) + len(kinds) + 1 for k in (0, 1)]
-        self.weight = {t: math.log((counts.get((t, 1), 0) + 1) / totals[1]) - math.log((counts.get((t, 0), 0) + 1) / totals[0]) for t in kinds}
-        self.prior = math.log((pages[1] + 1) / (pages[0] + 1)) if kinds else 0.0
+    def __init__(self, counts: dict[str, tuple[int, int]], totals: tuple[int, int, int], pages: tuple[int, int], marked: frozenset[str], least: float):
+        """totals: all tokens' counts of both classes, and how many tokens there are; marked ones weigh `least` at least."""
+        size = [n + totals[2] + 1 for n in totals[:2]]
+        self.weight = {t: math.log((n[1] + 1) / size[1]) - math.log((n[0] + 1) / size[0]) for t, n in counts.items()}
+        self.weight.update({t: max(least, self.weight[t]) for t in marked if t in counts})
+        self.prior = math.log((pages[1] + 1) / (pages[0] + 1)) if totals[2] else 0.0
 
     def __call__(self, tokens: list[str]) -> float:
-        """P(block); tokens never seen say nothing."""
+        """P(block)."""
         x = self.prior + sum(self.weight.get(t, 0.0) for t in tokens)
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))
 
 
-def unigrams(pages: DataFrame, text: str, vocabulary: int) -> dict[str, int]:
-    """The most frequent words of a column of all pages, at most `vocabulary`, tags left out."""
+def unigrams(pages: DataFrame, text: str) -> DataFrame:
+    """w, n: the words of a column of all pages, tags left out."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: Counter[str] = Counter()
@@ -132,64 +142,82 @@ def unigrams(pages: DataFrame, text: str, vocabulary: int) -> dict[str, int]:
                 sums.clear()
         yield pd.DataFrame(sums.items(), columns=["w", "n"]).astype({"w": "str", "n": "int64"})
 
-    sums = pages.select(F.col(text).cast("string").alias(text)).mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    sums = Workspace(pages.sparkSession, "urls").table(sums, "words")
-    return {r["w"]: r["n"] for r in highest(sums, "n", vocabulary).collect()}
+    return pages.select(F.col(text).cast("string").alias(text)).mapInPandas(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+
+
+def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """part, w: what may be a word in the hosts and paths of a part."""
+    for batch in batches:
+        for part, own in batch.groupby("part"):
+            made: set[str] = set()
+            for text in chain(own["host"], own["path"]):
+                for run in set(_RUNS.findall(text.lower())):
+                    if not run.isdigit():
+                        made.update(run[a:b] for a in range(len(run)) for b in range(a + 1, min(len(run), a + _LONGEST) + 1))
+                if len(made) > 100_000:
+                    yield pd.DataFrame({"part": part, "w": list(made)})
+                    made.clear()
+            yield pd.DataFrame({"part": part, "w": pd.Series(list(made), dtype="str")})
 
 
-def train(pages: DataFrame, counts: dict[str, int], seeds=SEEDS, tokens_kept: int = 200_000, seed_weight: float = 8.0) -> tuple[Segmenter, Bayes]:
-    """The splitter with the seeds as words, and naive Bayes of the weak labels of all pages (host, path).
+def scored(work: Workspace, pages: DataFrame, words: DataFrame, seeds=SEEDS, seed_weight: float = 8.0) -> DataFrame:
+    """host, path, score, words of every distinct pair of pages (host, path); words: w, n.
 
-    Only the most frequent tokens, at most `tokens_kept`, are kept as the model. A seed's log odds for
-    block are at least `seed_weight`, which decides where few pages hold it.
+    A seed's log odds for block are at least `seed_weight`, which decides where few pages hold it.
     """
-    usual = max(1, sorted(counts.values())[len(counts) // 2]) if counts else 1
-    splitter = Segmenter({**counts, **{w: max(counts.get(w, 0), usual, 5) for w in seeds}})
+    names = work.table(pages.groupBy("host", "path").agg(F.count("*").alias("m")), "names")
+    parts = -(-names.count() // _PART) or 1
+    names = names.withColumn("part", F.pmod(F.xxhash64("host", "path"), F.lit(parts)).cast("int"))
+    # a seed counts as often as the median word, 5 times at least
+    by_n = sorted(tuple(r) for r in words.groupBy("n").agg(F.count("*")).collect())
+    middle, usual = sum(r[1] for r in by_n) // 2, 1
+    for n, held in by_n:
+        usual = n
+        middle -= held
+        if middle < 0:
+            break
+    own = {r["w"]: r["n"] for r in words.where(F.col("w").isin(list(seeds))).collect()}
+    sown = {w: max(own.get(w, 0), usual, 5) for w in seeds}
+    total = sum(n * held for n, held in by_n) + sum(sown.values()) - sum(own.values())
     marked = frozenset(f"{m}:{w}" for w in seeds for m in "hp")
-    held = pages.sparkSession.sparkContext.broadcast((splitter, marked))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, seen = held.value
-        sums: Counter[tuple[str, int]] = Counter()
-        for batch in batches:
-            for name, rest in zip(batch["host"], batch["path"], strict=True):
-                tokens = split(name, rest)
-                kind = int(not seen.isdisjoint(tokens))
-                sums.update((t, kind) for t in tokens)
-                sums["", kind] += 1
-            if len(sums) > 200_000:
-                yield pd.DataFrame([(t, k, n) for (t, k), n in sums.items()], columns=["t", "k", "n"])
-                sums.clear()
-        yield pd.DataFrame([(t, k, n) for (t, k), n in sums.items()], columns=["t", "k", "n"]).astype({"t": "str", "k": "int32", "n": "int64"})
+    def split(these: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        splitter = Segmenter({**dict(zip(known["w"], known["n"].tolist(), strict=True)), **sown}, total)
+        tokens = [splitter(h, p) for h, p in zip(these["host"], these["path"], strict=True)]
+        return these.assign(tokens=tokens, kind=[int(not marked.isdisjoint(t)) for t in tokens])
+
+    known = names.mapInPandas(pieces, "part int, w string").distinct().join(words, "w")
+    made = names.groupBy("part").cogroup(known.groupBy("part")).applyInPandas(split, "host string, path string, m long, part int, tokens array<string>, kind int")
+    made = work.table(made, "split")
+    of = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("m"))), F.lit(0)).alias(f"of_{k}") for k in (0, 1)]
+    counts = work.table(made.select(F.explode("tokens").alias("t"), "kind", "m").groupBy("t").agg(*of), "tokens")
+    totals = tuple(n or 0 for n in counts.agg(F.sum("of_0"), F.sum("of_1"), F.count("*")).first())
+    of_class = tuple(made.agg(*of).first())
+
+    def score(these: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        both = zip(known["of_0"].tolist(), known["of_1"].tolist(), strict=True)
+        model = Bayes(dict(zip(known["t"], both, strict=True)), totals, of_class, marked, seed_weight)
+        return these[["host", "path"]].assign(score=[model(t) for t in these["tokens"]], words=[" ".join(t) for t in these["tokens"]])
 
-    sums = pages.select("host", "path").mapInPandas(count, "t string, k int, n long").groupBy("t").pivot("k", [0, 1]).agg(F.sum("n")).fillna(0)
-    sums = Workspace(pages.sparkSession, "urls").table(sums.select("t", F.col("0").alias("of_0"), F.col("1").alias("of_1"), (F.col("0") + F.col("1")).alias("n")), "tokens")
-    rows = highest(sums, "n", tokens_kept + 1).collect()
-    seen = {r["t"]: (r["of_0"], r["of_1"]) for r in rows}
-    of_class = seen.pop("", (0, 0))
-    bayes = Bayes({(t, k): n for t, both in seen.items() for k, n in enumerate(both) if n}, of_class)
-    bayes.weight.update({t: max(seed_weight, bayes.weight.get(t, 0.0)) for t in marked})
-    return splitter, bayes
+    weighed = made.select(F.col("part").alias("of_part"), F.explode("tokens").alias("t")).distinct().join(counts, "t")
+    out = made.groupBy("part").cogroup(weighed.groupBy("of_part")).applyInPandas(score, "host string, path string, score double, words string")
+    return work.table(out, "scored")
 
 
-def judge(pages: DataFrame, rules=RULES, vocabulary: int = 50_000, seeds=SEEDS, threshold: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, seeds=SEEDS, threshold: float = 0.5) -> DataFrame:
     """All columns of pages (url, html), with host, path, rule, verdict, score (P(block) by the method) and words."""
     made = {"host", "path", "rule", "verdict", "score", "words"}
     url = F.col("url").cast("string")
     named = pages.select(*(F.col(f"`{c}`") for c in pages.columns if c.lower() not in made), host(url).alias("host"), path(url).alias("path"))
-    splitter, bayes = train(named, unigrams(pages, "html", vocabulary), seeds)
-    held = pages.sparkSession.sparkContext.broadcast((splitter, bayes))
-
-    @F.pandas_udf("score double, words string")
-    def scored(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        split, model = held.value
-        tokens = [split(h, p) for h, p in zip(hosts, paths, strict=True)]
-        return pd.DataFrame({"score": [model(t) for t in tokens], "words": [" ".join(t) for t in tokens]})
-
+    work = Workspace(pages.sparkSession, "urls")
+    found = scored(work, named.select("host", "path"), work.table(unigrams(pages, "html"), "words"), seeds)
+    work.drop("names", "words", "split", "tokens")
     judged = "_judged"
-    while judged in named.columns:
+    while any(c.lower().startswith(judged) for c in named.columns):
         judged += "_"
-    own = named.withColumn(judged, scored("host", "path"))
+    found = found.select(F.col("host").alias(f"{judged}h"), F.col("path").alias(f"{judged}p"), F.struct("score", "words").alias(judged))
+    # every name of a page was scored
+    own = named.join(found, (F.col("host") == F.col(f"{judged}h")) & (F.col("path") == F.col(f"{judged}p")), "left")
     by_rule = fitting(rules, {rule: verdict for verdict, rule in rules})
     by_score = F.when(F.col(judged)["score"] > threshold, "block").otherwise("allow")
     return own.withColumn("rule", fitting(rules)).withColumn("verdict", F.coalesce(by_rule, by_score)).select(

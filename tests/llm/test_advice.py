@@ -1,10 +1,11 @@
 """Cases in which an operator once did less than its whole job."""
 
+import itertools
 import random
 
 from pyspark.sql import functions as F
 
-from sievewright.llm import topk
+from sievewright.llm import topk, urlfilter
 
 # exact top k
 
@@ -17,3 +18,13 @@ def test_a_partial_last_bin_ends_with_its_range(spark):
     found = topk.top_k(spark, vectors, F.lit(True), k=4, scale=1, bins=5).collect()
     want = {(q, rank + 1, c) for q, x in own.items() for rank, c in enumerate(sorted((c for c in own if c != q), key=lambda c: (-x * own[c], c))[:4])}
     assert {(r.query_id, r["rank"], r.vec_id) for r in found} == want
+
+
+# URLs
+
+
+def test_rare_words_split_hosts_however_many_words_there_are(spark):
+    words = ["".join(w) for w in itertools.islice(itertools.product("abcdefgh", repeat=6), 60_000)]
+    html = [" ".join(["quxwib", *words[:30_000]]), " ".join(["zorpel", *words[30_000:]])]
+    pages = spark.createDataFrame([(i, "http://quxwibzorpel.net/zorpelquxwib", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    assert {r.words for r in urlfilter.judge(pages).collect()} == {"h:quxwib h:zorpel h:net p:zorpel p:quxwib"}
