@@ -3,7 +3,7 @@
 P(grade <= k) = sigmoid(threshold_k - w . x): one weight vector is shared by all ordered thresholds. x counts in how many distinct words of a
 text each chosen feature stands: words, and character strings of 5 and 6 of its words with their ends marked, hashed. Features are screened first: the
 executors count in how many training texts of each grade a feature stands, and the `chosen` ones with the highest G-squared against the
-lowest grade stay. The driver then fits weights and thresholds to the sample's chosen features. The expected severity is the
+lowest grade stay, ties by hash; near copies (half of their runs of 3 words in common) count once there. The driver then fits weights and thresholds to the sample's chosen features. The expected severity is the
 sum of P(grade > k).
 
 Bounds: about `rows` distinct training texts of each grade, chosen by hash; `chosen` features; 2^`bits` hash values.
@@ -34,6 +34,13 @@ _KNOWN = 300_000
 _TASKS = 24
 #: A feature counts for so many words of a text at most.
 _MOST = 5
+#: Min-hashes of a training text, and the odd factors that make them from one hash.
+_HASHES = 64
+_FACTORS = np.random.default_rng(11).integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _number(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) >> 1
 
 
 def strings(word: str) -> set[str]:
@@ -121,21 +128,64 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: i
     return w, np.concatenate([first, first + np.cumsum(np.exp(gaps))])
 
 
+def _signature(text: str) -> np.ndarray:
+    """Min-hashes of a text's runs of 3 words; of equal places in two texts as many agree as their sets overlap."""
+    words = _WORD.findall(text.lower())
+    runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+    h = np.array([xxhash.xxh64_intdigest(r) for r in runs], np.uint64)
+    out = np.full(_HASHES, np.iinfo(np.uint64).max)
+    for at in range(0, len(h), 4096):
+        mixed = h[at : at + 4096, None] * _FACTORS[None, :]
+        out = np.minimum(out, (mixed ^ (mixed >> np.uint64(29))).min(axis=0))
+    return out
+
+
+def later_copies(signatures: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Which rows have a near copy among the rows before them on their side: linked by half of the places, straight or through others."""
+    root = list(range(len(signatures)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for at in range(0, _HASHES, 2):
+        band = np.column_stack([signatures[:, at : at + 2], sides.astype(np.uint64)])
+        _, first, group = np.unique(band, axis=0, return_index=True, return_inverse=True)
+        pivot = first[group.reshape(-1)]
+        for i in np.nonzero((signatures == signatures[pivot]).mean(axis=1) >= 0.5)[0]:
+            a, b = sorted((top(int(i)), top(int(pivot[i]))))
+            root[b] = a
+    return np.array([top(i) != i for i in range(len(root))], bool)
+
+
 def screen(sample: DataFrame, chosen: int, bits: int, least: float = 24.0, lift: float = 5.0) -> np.ndarray:
     """The features that tell higher grades from the lowest best: highest G-squared, at least `least` (chance alone gives that to
-    about one in a million), and at least `lift` times as common in the higher grades; sorted by number."""
+    about one in a million), and at least `lift` times as common in the higher grades; sorted by number. Near copies count once in the
+    lowest grade and once in the higher ones."""
     lowest = sample.agg(F.min("grade")).first()[0]
 
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [_signature(t).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"h": [_number(t) for t in batch["text"]], "side": (batch["grade"] > lowest).astype("int32"), "signature": made})
+
+    signed = sample.mapInPandas(sign, "h long, side int, signature binary").toPandas().sort_values("h")
+    sides = signed["side"].to_numpy()
+    copies = later_copies(np.frombuffer(b"".join(signed["signature"]), np.uint64).reshape(-1, _HASHES), sides)
+    left_out = frozenset(zip(signed["h"][copies].tolist(), sides[copies].tolist(), strict=True))
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         featurise, sums = Featuriser(bits), np.zeros((2, 1 << bits), np.int32)
         for batch in batches:
             for text, grade in zip(batch["text"], batch["grade"], strict=True):
-                sums[int(grade > lowest), list(set().union(*featurise.words(text)))] += 1
+                if (_number(text), int(grade > lowest)) not in left_out:
+                    sums[int(grade > lowest), list(set().union(*featurise.words(text)))] += 1
         there = np.nonzero(sums.any(axis=0))[0]
         yield pd.DataFrame({"f": there, "low": sums[0, there], "high": sums[1, there]})
 
     sums = sample.mapInPandas(count, "f long, low long, high long").groupBy("f").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
-    n = sample.agg(F.sum((F.col("grade") == lowest).cast("long")).alias("low"), F.sum((F.col("grade") > lowest).cast("long")).alias("high")).first()
+    n = {"low": int((~copies & (sides == 0)).sum()), "high": int((~copies & (sides == 1)).sum())}
     total = float(n["low"] + n["high"])
 
     def term(seen, expected):
@@ -149,7 +199,8 @@ def screen(sample: DataFrame, chosen: int, bits: int, least: float = 24.0, lift:
     ]
     more = (F.col("high") + 0.5) / (n["high"] + 1) >= lift * (F.col("low") + 0.5) / (n["low"] + 1)
     found = sums.where(both > 1).withColumn("g2", 2 * sum(parts)).where((F.col("g2") >= least) & more)
-    return np.array(sorted(r["f"] for r in highest(found, "g2", chosen).select("f").collect()), np.int64)
+    found = Workspace(sample.sparkSession, "toxicity").table(found.select("f", "g2"), "features")
+    return np.array(sorted(r["f"] for r in highest(found, "g2", chosen, "f").select("f").collect()), np.int64)
 
 
 def train(spark: SparkSession, docs: DataFrame, rows: int = 4000, chosen: int = 4096, bits: int = 20) -> Model:

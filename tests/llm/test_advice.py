@@ -3,9 +3,10 @@
 import itertools
 import random
 
+import xxhash
 from pyspark.sql import functions as F
 
-from sievewright.llm import topk, urlfilter
+from sievewright.llm import topk, toxicity, urlfilter
 
 # exact top k
 
@@ -28,3 +29,23 @@ def test_rare_words_split_hosts_however_many_words_there_are(spark):
     html = [" ".join(["quxwib", *words[:30_000]]), " ".join(["zorpel", *words[30_000:]])]
     pages = spark.createDataFrame([(i, "http://quxwibzorpel.net/zorpelquxwib", h) for i, h in enumerate(html)], "page_id long, url string, html string")
     assert {r.words for r in urlfilter.judge(pages).collect()} == {"h:quxwib h:zorpel h:net p:zorpel p:quxwib"}
+
+
+# toxicity
+
+
+def test_ties_and_near_copies_leave_room_for_other_features(spark):
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    text = lambda *own: " ".join([*(word(5) for _ in range(20)), *own])
+    copied = [word(8) for _ in range(300)]
+    rows = [(text(), 0) for _ in range(300)] + [(text(*["vilename"] * (i % 4 == 0)), 1) for i in range(160)]
+    rows += [(" ".join([*copied[:i], word(8), *copied[i:]]), 1) for i in range(0, 300, 4)]
+    # in any order these are no near copies: their words' features tie, too many for the smaller bound
+    tied = [word(8) for _ in range(30)]
+    rows += [(" ".join([*rng.sample(tied, 30), *(word(5) for _ in range(20))]), 1) for _ in range(60)]
+    sample = spark.createDataFrame(rows, "text string, grade int")
+    found = toxicity.screen(sample, 400, 20)
+    assert xxhash.xxh32_intdigest("vilename") % (1 << 20) in found
+    few = toxicity.screen(sample, 30, 20)
+    assert len(few) == 30 and set(few) <= {xxhash.xxh32_intdigest(p) % (1 << 20) for w in tied for p in toxicity.strings(w)}
