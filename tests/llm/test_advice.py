@@ -6,7 +6,9 @@ import random
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sievewright.llm import topk, toxicity, urlfilter
+from tests.llm.helpers import documents
 
 # exact top k
 
@@ -49,3 +51,21 @@ def test_ties_and_near_copies_leave_room_for_other_features(spark):
     assert xxhash.xxh32_intdigest("vilename") % (1 << 20) in found
     few = toxicity.screen(sample, 30, 20)
     assert len(few) == 30 and set(few) <= {xxhash.xxh32_intdigest(p) % (1 << 20) for w in tied for p in toxicity.strings(w)}
+
+
+# pipeline
+
+
+def test_texts_of_unlearned_languages_are_dropped(spark):
+    rng = random.Random(7)
+    other = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である",
+        "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti e sono dotati di ragione",
+        "Bonke abantu bazalwa bekhululekile belingana ngesithunzi nangamalungelo",
+        *("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (20, 60, 200)),
+    ]
+    docs = documents(spark, "sf0.01").select("doc_id", "text", "lang")
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(other)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionAll(more), "/root/testdata/sf0.01").collect()}
+    assert kept == {r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text or ""))}
