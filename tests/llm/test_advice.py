@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sievewright.llm import topk, toxicity, urlfilter
+from sievewright.sources import xml
 from tests.llm.helpers import documents
 
 # exact top k
@@ -69,3 +70,14 @@ def test_texts_of_unlearned_languages_are_dropped(spark):
     more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(other)], docs.schema)
     kept = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionAll(more), "/root/testdata/sf0.01").collect()}
     assert kept == {r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text or ""))}
+
+
+# XML
+
+
+def test_records_after_a_broken_place_are_read():
+    whole = [f"<p:R><n>{i}</n></p:R>" for i in range(2000)]
+    for bad in ("<p:R><n>\x01</n></p:R>", "<p:R><n>x</p:R>", "<p:R><n>a & b</n></p:R>", "<p:R><n>x</n>", "<p:R><n", "</l>", "<!-- open -- ->"):
+        for head in ('<?xml version="1.0"?><l xmlns:p="urn:p"><in>', '<l xmlns:p="urn:p" a="\'>"><in>'):
+            text = head + "".join([*whole[:700], bad, *whole[700:1500], bad, *whole[1500:]]) + "</in></l>"
+            assert [r["n"] for r in xml.records(text.encode(), "R")] == [str(i) for i in range(2000)], bad
