@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -227,12 +228,10 @@ def test_urls_against_plain_rules(spark, small):
         assert (r.host, r.path) == _split_host(urls[r.page_id])
         assert r.rule == _rule(r.host, r.path)
         assert r.verdict == (verdicts[r.rule] if r.rule else "block" if r.score > 0.5 else "allow")
-        if not r.rule:
-            assert (r.verdict == "block") == any(w in r.host for w in ("cheap-pills", "casino", "spam", "adult", "ads-track", "free-bets"))
 
 
 def test_odd_urls(spark):
-    frame = spark.createDataFrame([(i, u, "<p>spam words</p>", "x", 1, "mine") for i, u in enumerate(ODD_URLS)], "page_id long, url string, html string, host string, score int, _judged string")
+    frame = spark.createDataFrame([(i, u, "<p>spam words of cheap pills, casino win</p>", "x", 1, "mine") for i, u in enumerate(ODD_URLS)], "page_id long, url string, html string, host string, score int, _judged string")
     rows = urlfilter.judge(frame).collect()
     assert len(rows) == len(ODD_URLS)
     for r in rows:
@@ -243,6 +242,67 @@ def test_odd_urls(spark):
     assert urlfilter.judge(frame.limit(0)).count() == 0
 
 
+def _brute_scores(urls, html):
+    """page -> P(block): plain dictionaries, a quadratic Viterbi, naive Bayes from the rules' verdicts."""
+    words = Counter(w for h in html.values() if h for w in re.findall(r"[^\W\d_]+", re.sub(r"<[^>]*>", " ", h).lower()))
+    total = sum(words.values()) + 1
+
+    def split(run):
+        best = [(0.0, [])]
+        for end in range(1, len(run) + 1):
+            options = []
+            for start in range(end):
+                piece = run[start:end]
+                cost = math.log(total / words[piece]) if piece in words else math.log(total) + math.log(10) * len(piece)
+                options.append((best[start][0] + cost, start, piece))
+            cost, start, piece = min(options)
+            best.append((cost, [*best[start][1], piece]))
+        return best[-1][1]
+
+    def tokens(name, path):
+        return [f"{m}:{w}" for m, t in (("h", name), ("p", path)) for run in re.findall(r"[^\W\d_]+|\d+", t.lower()) for w in (["0"] if run.isdigit() else split(run))]
+
+    verdicts, counts, pages = {r: v for v, r in urlfilter.RULES}, {"allow": Counter(), "block": Counter()}, Counter()
+    for url in urls.values():
+        name, path = _split_host(url)
+        if rule := _rule(name, path):
+            of, _, start = rule.partition("/")
+            counts[verdicts[rule]].update(tokens(name[: len(name) - len(of)], path[len(start) + 1 :]))
+            pages[verdicts[rule]] += 1
+    kinds = set(counts["allow"]) | set(counts["block"])
+    size = {v: sum(c.values()) + len(kinds) for v, c in counts.items()}
+    out = {}
+    for i, url in urls.items():
+        own = [t for t in tokens(*_split_host(url)) if t in kinds]
+        x = math.log((pages["block"] + 1) / (pages["allow"] + 1)) + sum(math.log((counts["block"][t] + 1) / size["block"]) - math.log((counts["allow"][t] + 1) / size["allow"]) for t in own)
+        out[i] = 1 / (1 + math.exp(-x))
+    return out
+
+
+def test_scores_of_whole_pages_against_brute_force(spark, small):
+    pages = spark.read.parquet(f"{small}/pages.parquet").collect()
+    want = _brute_scores({r.page_id: r.url for r in pages}, {r.page_id: r.html for r in pages})
+    rows = queries.op7_url_filter(spark, small).collect()
+    assert {r.page_id: r.score for r in rows} == {i: pytest.approx(x, abs=1e-9) for i, x in want.items()} and len(rows) == len(pages)
+    assert len({round(r.score, 6) for r in rows if not r.rule}) > 20
+
+
+def test_bayes_learns_from_the_rules_alone(spark):
+    html = "cheap pills garden club of flowers"
+    urls = [f"http://cheappills{i}.net/a" for i in range(20)] + [f"http://gardenclub{i}.org/fr/a" for i in range(20)] + ["http://pillsflowers.com/", "http://gardenflowers.com/", "http://flowers.com/"]
+    frame = spark.createDataFrame([(i, u, html) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    found = {r.page_id: r for r in urlfilter.judge(frame).collect()}
+    assert [found[i].verdict for i in (40, 41, 42)] == ["block", "allow", "allow"] and found[42].score == pytest.approx(0.5)
+    assert found[40].words == "h:pills h:flowers h:com"
+    assert {r.score for r in urlfilter.judge(frame, rules=[]).collect()} == {0.5}
+
+
+def test_words_of_any_length_split_names(spark):
+    long = "".join(random.Random(3).choice("bcdfgkl") for _ in range(60))
+    frame = spark.createDataFrame([(1, f"http://cat{long}dog{long}.com/", f"cat dog {long} com")], "page_id long, url string, html string")
+    assert urlfilter.judge(frame).first().words == f"h:cat h:{long} h:dog h:{long} h:com"
+
+
 def test_viterbi_is_the_cheapest_split():
     counts = {"ab": 50, "a": 20, "b": 20, "abc": 3, "c": 10, "cab": 7}
     splitter = urlfilter.Segmenter(counts)
@@ -250,7 +310,8 @@ def test_viterbi_is_the_cheapest_split():
     def cost(parts):
         return sum(splitter.cost.get(p, splitter.unknown + splitter.letter * len(p)) for p in parts)
 
-    for run in ("abcab", "cabab", "xab", "abcx", "aabbcc", "zzzz"):
+    for run in ("abcab", "cabab", "xab", "abcx", "aabbcc", "zzzz", "zabzzz"):
         cuts = itertools.chain.from_iterable(itertools.combinations(range(1, len(run)), k) for k in range(len(run)))
         every = [[run[a:b] for a, b in itertools.pairwise([0, *c, len(run)])] for c in cuts]
         assert cost(splitter.split(run)) == pytest.approx(min(map(cost, every)))
+    assert splitter.split("z" * 30) == ["z" * 30]
