@@ -106,12 +106,12 @@ SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 
 _TOP_SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e))
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 5
+    SELECT q.row_no, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.row_no <> q.row_no AND len(c.e) = len(q.e))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 5
 """
 
 ORACLE_SQL: dict[str, str] = {"op3_near_duplicates": _NEAR_SQL, "op8_exact_topk": _TOP_SQL}
