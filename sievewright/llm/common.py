@@ -16,15 +16,16 @@ _ALNUM = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
     for c in range(256)
 )
-_SPACES = re.compile(rb"[\x20\x09-\x0D]+")
+_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(128)) + b" " * 128
+_LETTER_RUN = re.compile(r"[^\W\d_]+")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a new local folder where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, local mode gets a new local folder and a cluster an error."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not where and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (where or _own_dir()).rstrip("/")
 
 
@@ -44,7 +45,7 @@ class Workspace:
     """Intermediate tables of one query, written as Parquet in the shared folder.
 
     A written table cuts lineage and survives lost executors. drop() deletes a table that is no longer
-    read; what a returned lazy DataFrame still reads stays until the Python process ends.
+    read, and close() all of them; what a returned lazy DataFrame still reads stays until the Python process ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -52,7 +53,7 @@ class Workspace:
         self.root = f"{shared_dir(spark)}/sievewright-{name}-{uuid.uuid4().hex}"
         self.paths: dict[str, str] = {}
         self.made = 0
-        atexit.register(self._clean)
+        atexit.register(self.close)
 
     def table(self, df: DataFrame, label: str) -> DataFrame:
         self.made += 1
@@ -66,7 +67,8 @@ class Workspace:
             if path := self.paths.pop(label, None):
                 remove(self.spark, path)
 
-    def _clean(self) -> None:
+    def close(self) -> None:
+        atexit.unregister(self.close)
         try:
             remove(self.spark, self.root)
         except Exception:  # noqa: BLE001  the session may have ended before the process does
@@ -77,22 +79,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def highest(rows: DataFrame, column: str, most: int, key: str) -> DataFrame:
-    """The `most` rows of the highest positive values of a column (all, where there are fewer); ties by a hash of the key, then the key.
-
-    Counts by powers of 2^(1/8) tell where the bound falls; only that band is sorted.
-    """
-    step = F.floor(F.log2(column) * 8).cast("int")
-    some = rows.where(F.col(column) > 0)
-    above = 0
-    for r in sorted(some.groupBy(step.alias("step")).count().collect(), reverse=True):
-        if above + r["count"] > most:
-            last = some.where(step == r["step"]).orderBy(F.desc(column), F.xxhash64(key), key).limit(most - above)
-            return some.where(step > r["step"]).unionAll(last)
-        above += r["count"]
-    return some
-
-
 def sample_by_hash(docs: DataFrame, kind: str, most: int, literal: int = 1000) -> DataFrame:
     """text and kind of about `most` distinct texts of each value of `kind` (all, where there are fewer), chosen by their hashes; nulls take no part.
 
@@ -110,7 +96,7 @@ def sample_by_hash(docs: DataFrame, kind: str, most: int, literal: int = 1000) -
     else:
         rows = rows.join(share, kind)
     chosen = rows.where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
-    return chosen.groupBy(kind, "h").agg(F.first("text").alias("text")).select("text", kind)
+    return chosen.groupBy(kind, "h").agg(F.min("text").alias("text")).select("text", kind)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
@@ -134,9 +120,16 @@ def bucket_of_id(column: str, modulus: int):
 
 def plain_words(text: str | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ of a text with A-Z lower-cased, as UTF-8."""
-    return [w for w in _SPACES.split((text or "").encode().translate(_LOWER)) if w]
+    return (text or "").encode().translate(_LOWER).split()
 
 
 def alnum_words(text: str | None) -> list[bytes]:
     """Words of 0-9, a-z and all non-ASCII characters, with A-Z lower-cased, as UTF-8."""
-    return [w for w in (text or "").encode().translate(_ALNUM).split(b" ") if w]
+    return (text or "").encode().translate(_ALNUM).split()
+
+
+def letter_words(text: str | None) -> list[str]:
+    """Runs of letters of any script, lower-cased."""
+    if not isinstance(text, str):
+        return []
+    return text.encode().translate(_LETTERS).decode().split() if text.isascii() else _LETTER_RUN.findall(text.lower())

@@ -77,13 +77,10 @@ class Shingler:
             return np.empty(0, np.uint64)
         if len(self.known) > _KNOWN_WORDS:
             self.known.clear()
-        known, get = self.known, self.known.get
-        codes = []
-        for w in words:
-            if (h := get(w)) is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            codes.append(h)
-        ids = np.array(codes, dtype=np.uint64)
+        known = self.known
+        for w in set(words).difference(known):
+            known[w] = xxhash.xxh64_intdigest(w)
+        ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         width = min(self.width, len(ids))
         mixed = np.full(len(ids) - width + 1, width, np.uint64)
         for k in range(width):

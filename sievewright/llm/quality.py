@@ -4,30 +4,40 @@ The model is linear in standardised shape features of the whole text. It minimis
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
 
-with the logistic loss: trusted positives are documents labelled 1, the unlabelled ones are any web documents, labelled or not. Where the
-inner term is negative, a step is taken against it, which keeps the model from fitting the unlabelled sample as all negative.
-The class prior is estimated first: where zeros are among the trusted labels by the share of ones, else from the scores of a first
-model fitted to tell positives from unlabelled (mean over unlabelled by the mean over positives).
+with the logistic loss: trusted positives are documents labelled 1, the unlabelled ones are all documents; negative labels are never used. For this loss and a linear model the sum without the max is
+convex, and the positives enter it by their mean alone, so Newton's method needs one pass a step over the written features, which adds up a gradient and a matrix of the features' size in each
+task. Nothing is sampled. A pass tries several step lengths; one that makes the inner term negative, where the max cuts in, is not taken, which keeps the model from fitting the
+unlabelled documents as all negative.
 
-Bounds: the model is fitted on the driver to about `positives` + `unlabelled` rows of about 60 numbers each, chosen by hash.
+The class prior is estimated first, from positives and unlabelled documents alone: a first model tells positives from unlabelled, and the share of unlabelled scores above a threshold over that of
+positives is at least the prior for every threshold, and equal to it where only positives score that high. The smallest upper bound over all thresholds, with an allowance for
+their numbers, is the estimate.
 
-Defined results: null, empty and wordless texts have all-zero features and get the score of such a text; without any positives the score is the
-prior 0.5 everywhere; repeated rows get equal scores; texts are used whole; extra columns are ignored; an empty table gives no rows.
+Bounds: the driver holds sums over `N_FEATURES` features and histograms of `_BINS` bins, never rows.
+
+Defined results: null, empty and wordless texts have all-zero features and get the score of such a text; without any positives, or without documents, the score is the
+prior 0.5 everywhere; repeated rows count and score alike; of several labels of a document the highest counts; texts are used whole; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import labelled_sample, sample_by_hash
+from sievewright.llm.common import Workspace
 
 _PUNCT = [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]
 N_FEATURES = len(_PUNCT) + 19
+_KIND = np.zeros(256, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = 1  # white space
+_KIND[[ord(c) for c in ".,;:!?\"'()"]] = 2  # what is cut off a word's ends
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_BINS = 1024
 
 
 def features(text: str | None) -> np.ndarray:
@@ -36,19 +46,26 @@ def features(text: str | None) -> np.ndarray:
     if not isinstance(text, str) or not text:
         return out
     raw = text.encode()
-    counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-    n = len(raw)
-    words = raw.split()
-    m = max(1, len(words))
+    data = np.frombuffer(raw, np.uint8)
+    counts = np.bincount(data, minlength=256)
+    n, kind = len(raw), _KIND[data]
+    blank = np.concatenate([[True], kind == 1, [True]])
+    edges = np.nonzero(blank[1:] != blank[:-1])[0]
+    starts, ends = edges[::2], edges[1::2]
+    lengths = ends - starts
+    m = max(1, len(starts))
     letters = max(1, counts[65:91].sum() + counts[97:123].sum())
-    lengths = np.fromiter(map(len, words), float, len(words)) if words else np.zeros(1)
+    ids = np.fromiter(map(hash, raw.split()), np.int64, len(starts))
     lines = raw.split(b"\n")
-    kinds = len(set(words))
-    same = sum(map(bytes.__eq__, words, words[1:]))
-    lone = sum(1 for w in words if len(w) == 1 and not w.isalnum())
-    two = len(set(zip(words, words[1:], strict=False)))
-    plain = [w.strip(b".,;:!?\"'()") for w in words]
-    ends = sum(1 for w in plain if w and 33 <= w[-1] < 127 and not w[-1:].isalnum())
+    kinds = len(np.unique(ids))
+    same = int((ids[1:] == ids[:-1]).sum())
+    lone = int(((lengths == 1) & ~_ALNUM[data[starts]]).sum())
+    two = len(np.unique(ids[1:] * np.int64(0x5851F42D4C957F2D) ^ ids[:-1])) if len(ids) > 1 else 0
+    # the last byte of each word that is not cut off its end
+    last = np.maximum.accumulate(np.where(kind == 0, np.arange(n), -1))[ends - 1]
+    own = data[np.maximum(last, 0)]
+    odd = int(((last >= starts) & (own >= 33) & (own < 127) & ~_ALNUM[own]).sum())
+    size = lengths if len(lengths) else np.zeros(1)
     out[: len(_PUNCT)] = np.sqrt(counts[_PUNCT] / m)
     out[len(_PUNCT) :] = (
         counts[65:91].sum() / letters,
@@ -62,98 +79,210 @@ def features(text: str | None) -> np.ndarray:
         np.sqrt(same / m),
         lone / m,
         two / m,
-        ends / max(1, len(plain)),
-        lengths.mean() / 10,
-        lengths.std() / 10,
-        lengths.max(initial=0) ** 0.5 / 10,
+        odd / m,
+        size.mean() / 10,
+        size.std() / 10,
+        size.max() ** 0.5 / 10,
         np.log1p(m) / 10,
         len({x for x in lines if x}) / max(1, len(lines)),
         np.log1p(max(map(len, lines))) / 10,
-        1.0 if words else 0.0,
+        1.0 if len(starts) else 0.0,
     )
     return out
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 3000, rate: float = 0.05, decay: float = 1e-5) -> np.ndarray:
-    """Weights and, last, the bias: non-negative risk by Adam on the whole sample."""
-    p = np.hstack([positive, np.ones((len(positive), 1))])
-    u = np.hstack([unlabelled, np.ones((len(unlabelled), 1))])
-    w = np.zeros(p.shape[1])
-    first, second = np.zeros_like(w), np.zeros_like(w)
-
-    def sigmoid(x):
-        return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-
-    for step in range(1, steps + 1):
-        fp, fu = p @ w, u @ w
-        # logistic loss l(z) = log(1 + e^-z); its slope for a positive is -sigmoid(-f), for a negative sigmoid(f)
-        missed = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        negative = u.T @ sigmoid(fu) / len(u) - prior * (p.T @ sigmoid(fp)) / len(p)
-        slope = prior * -(p.T @ sigmoid(-fp)) / len(p) + negative if missed >= 0 else -negative
-        slope = slope + decay * np.append(w[:-1], 0.0)
-        first = 0.9 * first + 0.1 * slope
-        second = 0.999 * second + 0.001 * slope**2
-        w = w - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+def _sigmoid(x):
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+#: (rows, whether they are positives) in parts -> the sum over all parts of a function's arrays.
+Sums = Callable[[Callable[[np.ndarray, np.ndarray], list[np.ndarray]]], list[np.ndarray]]
+
+
+def minimise(sums: Sums, width: int, prior: float, n_p: float, n_u: float, steps: int = 40, decay: float = 1e-4, clamp: bool = True) -> np.ndarray:
+    """Weights and, last, the bias: the (non-negative) risk, by Newton steps; n_p and n_u rows. sums: rows have a last column of ones.
+
+    decay keeps the weights, not the bias, finite; it also makes the matrix invertible.
+    """
+    ridge = np.append(np.full(width - 1, decay), 1e-9)
+    lengths = np.array([1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.001])
+
+    def looked(candidates: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each row of weights the risk without the max, with the penalty, and its inner term; of the first row slope and matrix besides: it is the likeliest to be taken."""
+
+        def part(x, is_p):
+            u, first = x[~is_p], candidates[0]
+            s = _sigmoid(u @ first)
+            return [np.logaddexp(0, u @ candidates.T).sum(axis=0), np.logaddexp(0, x[is_p] @ candidates.T).sum(axis=0), x[is_p].sum(axis=0), u.T @ s, (u * (s * (1 - s))[:, None]).T @ u]
+
+        u, p, sum_p, g, h = sums(part)
+        # l(f) - l(-f) = -f for the logistic loss
+        risk = u / n_u - prior * candidates @ sum_p / n_p + 0.5 * (candidates**2 * ridge).sum(axis=1)
+        return risk, u / n_u - prior * p / n_p, g / n_u - prior * sum_p / n_p + ridge * candidates[0], h / n_u + np.diag(ridge)
+
+    w = np.zeros(width)
+    risk, _, g, h = looked(w[None, :])
+    loss = risk[0]
+    for _ in range(steps):
+        tried = w[None, :] + lengths[:, None] * np.linalg.solve(h, -g)[None, :]
+        risk, inner, g, h = looked(tried)
+        risk = np.where((inner >= 0) | (not clamp), risk, np.inf)
+        best = int(np.argmin(risk))
+        if not risk[best] < loss - 1e-9:
+            break
+        gain, loss, w = loss - risk[best], risk[best], tried[best]
+        if gain < 1e-6:
+            break
+        if best:
+            _, _, g, h = looked(w[None, :])
     return w
 
 
+def apart(sums: Sums, width: int, n_p: float, n_u: float, steps: int = 12, decay: float = 1e-3) -> np.ndarray:
+    """Weights and bias of logistic regression of positives against unlabelled, both kinds weighing alike, by Newton steps."""
+    ridge, w = np.append(np.full(width - 1, decay), 1e-9), np.zeros(width)
+    for _ in range(steps):
+
+        def slopes(x, p, w=w):
+            weight = np.where(p, 0.5 / n_p, 0.5 / n_u)
+            s = _sigmoid(x @ w)
+            return [x.T @ (weight * (s - p)), (x * (weight * s * (1 - s))[:, None]).T @ x]
+
+        g, h = sums(slopes)
+        step = np.linalg.solve(h + np.diag(ridge), -(g + ridge * w))
+        w = w + step * min(1.0, 10 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-2:
+            break
+    return w
+
+
+def prior_of(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among the unlabelled, from histograms of both kinds' scores (higher: likelier positive)."""
+    if not positive.sum() or not unlabelled.sum():
+        return 0.5
+    n = np.array([positive.sum(), unlabelled.sum()], float)
+    above = np.stack([positive[::-1].cumsum() / n[0], unlabelled[::-1].cumsum() / n[1]])
+    # both shares are known to within about sqrt(log(n) / n): the bound is only meant where many positives score that high
+    slack = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(n)).sum()
+    held = above[0] > 0
+    bound = (above[1][held] + slack) / above[0][held]
+    at = int(np.argmin(bound))
+    return float(np.clip(above[1][held][at] / above[0][held][at], 0.02, 0.98))
+
+
 class Model:
     """Standardising and weights; scores are sigmoids."""
 
     def __init__(self, centre: np.ndarray, width: np.ndarray, weights: np.ndarray, prior: float):
         self.centre, self.width, self.weights, self.prior = centre, width, weights, prior
 
-    def __call__(self, rows: np.ndarray) -> np.ndarray:
-        z = np.clip((rows - self.centre) / self.width, -8, 8)
-        return 1 / (1 + np.exp(-np.clip(z @ self.weights[:-1] + self.weights[-1], -40, 40)))
+    def rows(self, x: np.ndarray) -> np.ndarray:
+        """Standardised features with a last column of ones."""
+        return np.hstack([np.clip((x - self.centre) / self.width, -8, 8), np.ones((len(x), 1))])
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return _sigmoid(self.rows(x) @ self.weights)
+
 
+def _matrix(cells) -> np.ndarray:
+    return np.frombuffer(b"".join(cells), "<f4").reshape(-1, N_FEATURES).astype(float)
 
-def _vectors(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """features, and the kept columns, of docs (text)."""
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def vectors(docs: DataFrame) -> DataFrame:
+    """All columns of docs (text) with its features, packed; a column named features is replaced."""
+    import pyarrow as pa
+    from pyspark.sql.types import BinaryType, StructType
+
+    base = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != "features"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch[keep].assign(x=[features(t) for t in batch["text"].array])
-
-    return docs.select(*keep, "text").mapInPandas(run, f"{fields}, x array<double>")
-
-
-def train(docs: DataFrame, labels: DataFrame, prior: float | None = None, positives: int = 4000, unlabelled: int = 8000) -> Model:
-    """docs: doc_id, text. labels: doc_id, label (0, 1 or null); only these are trusted. prior: None to estimate it."""
-    trusted = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    share = trusted.agg(F.avg(F.col("label").cast("double")).alias("ones"), F.min("label").alias("least")).first()
-    ones = labelled_sample(docs, trusted.where("label = 1"), positives).select("text", F.lit(1).alias("positive"))
-    web = sample_by_hash(docs.withColumn("positive", F.lit(0)), "positive", unlabelled)
-    found = _vectors(ones.union(web), ["positive"]).toPandas()
-    x = np.array(found["x"].tolist(), float).reshape(len(found), N_FEATURES)
-    p, u = x[found["positive"] == 1], x[found["positive"] == 0]
-    if not len(p) or not len(u):
-        return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES + 1), 0.5)
-    centre, width = u.mean(axis=0), u.std(axis=0) + 1e-3
-    p, u = (np.clip((y - centre) / width, -8, 8) for y in (p, u))
-    if prior is None and share["least"] == 0:
-        prior = share["ones"]
-    elif prior is None:
-        w = fit(p, u, 0.5)
-        tell = [1 / (1 + np.exp(-np.clip(y @ w[:-1] + w[-1], -40, 40))) for y in (p, u)]
-        prior = tell[1].mean() / tell[0].mean()
-    prior = float(np.clip(prior, 0.02, 0.98))
-    return Model(centre, width, fit(p, u, prior), prior)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs, with score; a column of that name is replaced."""
+            made = [features(t).astype("<f4").tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, "features"])
+
+    return base.mapInArrow(run, StructType([*base.schema.fields]).add("features", BinaryType()))
+
+
+def _summed(rows: DataFrame) -> Callable:
+    """For a model, the sums over all rows (features, positive) of functions of its standardised rows: each task adds up its own part."""
+
+    def of_model(model: Model) -> Sums:
+        def sums(function):
+            def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                total = None
+                for batch in batches:
+                    for at in range(0, len(batch), 4096):
+                        part = batch.iloc[at : at + 4096]
+                        made = function(model.rows(_matrix(part["features"])), part["positive"].to_numpy(bool))
+                        total = made if total is None else [a + b for a, b in zip(total, made, strict=True)]
+                if total is not None:
+                    yield pd.DataFrame({"k": range(len(total)), "s": [np.asarray(t, float).tobytes() for t in total], "shape": [list(np.shape(t)) for t in total]})
+
+            out: dict[int, np.ndarray] = {}
+            for k, s, shape in rows.mapInPandas(run, "k int, s binary, shape array<int>").collect():
+                one = np.frombuffer(s).reshape(shape)
+                out[k] = out[k] + one if k in out else one
+            return [out[k] for k in sorted(out)]
+
+        return sums
+
+    return of_model
+
+
+def train(spark: SparkSession, featured: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
+    """featured: doc_id and features, as vectors gives them, best a written table. labels: doc_id, label; only those of 1 are used. prior: None to estimate it."""
+    work = Workspace(spark, "quality")
+    trusted = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label")).where("label = 1").select("doc_id")
+    every = featured.select("features", F.lit(False).alias("positive"))
+    rows = work.table(every.unionAll(featured.join(trusted, "doc_id", "left_semi").select("features", F.lit(True).alias("positive"))), "rows")
+    of_model = _summed(rows)
+    plain = Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES + 1), 0.5)
+
+    found = of_model(_Plain())(lambda x, p: [np.array([p.sum(), (~p).sum()], float), x[~p].sum(axis=0), (x[~p] ** 2).sum(axis=0)])
+    if not found or not found[0].all():
+        work.close()
+        return plain
+    n_p, n = found[0]
+    centre = found[1] / n
+    width = np.sqrt(np.maximum(found[2] / n - centre**2, 0)) + 1e-3
+    model = Model(centre, width, np.zeros(N_FEATURES + 1), 0.5)
+    sums = of_model(model)
+    if prior is None:
+        tell, edges = apart(sums, N_FEATURES + 1, n_p, n), np.linspace(0, 1, _BINS + 1)[1:-1]
+
+        def histogram(x, p):
+            at = np.digitize(_sigmoid(x @ tell), edges)
+            return [np.bincount(at[p], minlength=_BINS), np.bincount(at[~p], minlength=_BINS)]
+
+        prior = prior_of(*sums(histogram))
+    model.prior = float(np.clip(prior, 0.02, 0.98))
+    model.weights = minimise(sums, N_FEATURES + 1, model.prior, n_p, n)
+    work.close()
+    return model
+
+
+class _Plain(Model):
+    """Features as they are."""
+
+    def __init__(self):
+        super().__init__(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES + 1), 0.5)
+
+    def rows(self, x: np.ndarray) -> np.ndarray:
+        return x
+
+
+def score(featured: DataFrame, model: Model) -> DataFrame:
+    """All columns of featured but features, with score; a column of that name is replaced."""
     import pyarrow as pa
     from pyspark.sql.types import DoubleType, StructType
 
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    base = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != "score"))
+    held = featured.sparkSession.sparkContext.broadcast(model)
+    base = featured.select(*(F.col(f"`{c}`") for c in featured.columns if c.lower() not in ("score", "features")), "features")
+    out = StructType([*base.schema.fields[:-1]]).add("score", DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(t) for t in batch.column("text").to_pylist()]
-            made = held.value(np.array(rows).reshape(len(rows), N_FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=[*batch.schema.names, "score"])
+            made = held.value(_matrix(batch.column("features").to_pylist())) if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.float64())], names=[*batch.schema.names[:-1], "score"])
 
-    return base.mapInArrow(run, StructType([*base.schema.fields]).add("score", DoubleType()))
+    return base.mapInArrow(run, out)

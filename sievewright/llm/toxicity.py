@@ -2,38 +2,36 @@
 
 P(grade <= k) = sigmoid(threshold_k - w . x): one weight vector is shared by all ordered thresholds. x counts in how many distinct words of a
 text each chosen feature stands: words, and character strings of 5 and 6 of its words with their ends marked, hashed. Features are screened first: the
-executors count in how many training texts of each grade a feature stands, and the `chosen` ones with the highest G-squared against the
-lowest grade stay, ties by hash; near copies (half of their runs of 3 words in common) count once there. The driver then fits weights and thresholds to the sample's chosen features. The expected severity is the
-sum of P(grade > k).
+executors count in how many training texts of each grade a feature stands, and those that tell the higher grades from the lowest beyond chance stay, however many they
+are; near copies (half of their runs of 3 words in common) count once there. The driver then fits weights and thresholds to the sample's chosen features. The expected severity is the
+sum of P(grade > k). A training text is read once: its features are written, and screening and fitting take them from there.
 
-Bounds: about `rows` distinct training texts of each grade, chosen by hash; `chosen` features; 2^`bits` hash values.
+Grades come from the caller. `severity_grades` makes them from two labels of a document: 0 is clean, 1 toxic in a text of low quality, which other filters drop as well, 2 toxic in
+any other text, which nothing else stops.
+
+Bounds: about `rows` distinct training texts of each grade, chosen by hash; 2^`bits` hash values.
 
 Defined results: null, empty and wordless texts have no features and get the severity of such a text; without training rows, or with one grade
-only, every severity is that grade (0 if none); repeated rows get equal results; texts are used whole; columns of docs with the names of the results are
+only, every severity is that grade (0 if none); repeated rows get equal results, and of equally likely grades the lowest is named; a word counts once however often it stands; texts are used whole; columns of docs with the names of the results are
 replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import Workspace, highest, labelled_sample, sample_by_hash
+from sievewright.llm.common import Workspace, labelled_sample, letter_words, sample_by_hash
 
-_WORD = re.compile(r"[^\W\d_]+")
 _KNOWN = 300_000
 #: The samples are small but their texts take long: they are dealt evenly.
 _TASKS = 24
-#: A feature counts for so many words of a text at most.
-_MOST = 5
 #: Min-hashes of a training text, and the odd factors that make them from one hash.
 _HASHES = 64
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,34 +47,25 @@ def strings(word: str) -> set[str]:
     return {word, *(marked[i : i + n] for n in (5, 6) for i in range(len(marked) - n + 1))}
 
 
+def numbers(word: str, bits: int) -> list[int]:
+    """A word's distinct feature numbers."""
+    return sorted({xxhash.xxh32_intdigest(p) & ((1 << bits) - 1) for p in strings(word)})
+
+
 class Featuriser:
-    """Feature numbers of words, all or only those of some chosen ones (by their places there); known words' are kept."""
-
-    def __init__(self, bits: int, chosen: np.ndarray | None = None):
-        self.mask = (1 << bits) - 1
-        self.place = None if chosen is None else {int(f): k for k, f in enumerate(chosen)}
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        numbers = {xxhash.xxh32_intdigest(p) & self.mask for p in strings(word)}
-        return tuple(numbers if self.place is None else (self.place[f] for f in numbers if f in self.place))
-
-    def words(self, text: str | None) -> list[tuple[int, ...]]:
-        """The features of each distinct word that has any."""
-        if len(self.known) > _KNOWN:
-            self.known.clear()
-        known, out = self.known, []
-        for w in set(_WORD.findall(text.lower())) if isinstance(text, str) else ():
-            if (f := known.get(w)) is None:
-                f = known[w] = self._word(w)
-            if f:
-                out.append(f)
-        return out
+    """Feature numbers of a text, each as often as distinct words have it; known words' are kept."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.known: dict[str, list[int]] = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        """Features, each as often as distinct words have it, up to `_MOST` times."""
-        seen = Counter(chain.from_iterable(self.words(text)))
-        return np.array(sorted(f for f, n in seen.items() for _ in range(min(n, _MOST))), np.int64)
+        own, known = set(letter_words(text)), self.known
+        if len(known) > _KNOWN:
+            known.clear()
+        for w in own.difference(known):
+            known[w] = numbers(w, self.bits)
+        return np.fromiter(chain.from_iterable(map(known.__getitem__, own)), np.uint32)
 
 
 def _sigmoid(x):
@@ -94,7 +83,23 @@ class Model:
         return _sigmoid(totals[:, None] - self.thresholds[None, :])
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: int, steps: int = 600, rate: float = 0.05, decay: float = 1e-4):
+class Scorer:
+    """w . x of a text: the sum of its distinct words' own sums, which are kept."""
+
+    def __init__(self, model: Model):
+        self.bits, self.known = model.bits, {}
+        self.weight = dict(zip(model.chosen.tolist(), model.weights.tolist(), strict=True))
+
+    def __call__(self, text: str | None) -> float:
+        own, known, weight = set(letter_words(text)), self.known, self.weight
+        if len(known) > _KNOWN:
+            known.clear()
+        for w in own.difference(known):
+            known[w] = sum(weight.get(f, 0.0) for f in numbers(w, self.bits))
+        return sum(sorted(x for x in map(known.__getitem__, own) if x))
+
+
+def fit(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: int, steps: int = 600, rate: float = 0.05, decay: float = 3e-4):
     """Weights and thresholds of grades 0..n_grades-1 by Adam on the negative log likelihood; grades weigh alike at half strength."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     which = np.concatenate(rows) if rows else np.empty(0, np.int64)
@@ -114,7 +119,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: i
         d_up = np.where(grades < n_grades - 1, upper * (1 - upper), 0.0) / p * weight
         d_low = np.where(grades > 0, lower * (1 - lower), 0.0) / p * weight
         of_total = d_up - d_low  # slope of the loss by the total
-        g_w = np.bincount(which, weights=of_total[at], minlength=n_features) + decay * w / max(1, len(w)) ** 0.5
+        g_w = np.bincount(which, weights=of_total[at], minlength=n_features) + decay * w
         g_theta = np.bincount(np.maximum(grades - 1, 0), weights=d_low, minlength=n_grades - 1)[: n_grades - 1]
         g_theta = g_theta - np.bincount(np.minimum(grades, n_grades - 2), weights=d_up, minlength=n_grades - 1)[: n_grades - 1]
         g_first = np.array([g_theta.sum()])
@@ -130,7 +135,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: i
 
 def _signature(text: str) -> np.ndarray:
     """Min-hashes of a text's runs of 3 words; of equal places in two texts as many agree as their sets overlap."""
-    words = _WORD.findall(text.lower())
+    words = letter_words(text)
     runs = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
     h = np.array([xxhash.xxh64_intdigest(r) for r in runs], np.uint64)
     out = np.full(_HASHES, np.iinfo(np.uint64).max)
@@ -159,32 +164,38 @@ def later_copies(signatures: np.ndarray, sides: np.ndarray) -> np.ndarray:
     return np.array([top(i) != i for i in range(len(root))], bool)
 
 
-def screen(sample: DataFrame, chosen: int, bits: int, least: float = 24.0, lift: float = 5.0) -> np.ndarray:
-    """The features that tell higher grades from the lowest best: highest G-squared, at least `least` (chance alone gives that to
-    about one in a million), and at least `lift` times as common in the higher grades; sorted by number. Near copies count once in the
-    lowest grade and once in the higher ones."""
-    lowest = sample.agg(F.min("grade")).first()[0]
+def featurised(sample: DataFrame, bits: int) -> DataFrame:
+    """grade, h (a number of the text), signature and features of a sample's texts."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        featurise = Featuriser(bits)
         for batch in batches:
-            made = [_signature(t).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"h": [_number(t) for t in batch["text"]], "side": (batch["grade"] > lowest).astype("int32"), "signature": made})
+            made = {"grade": batch["grade"], "h": [_number(t) for t in batch["text"]], "signature": [_signature(t).tobytes() for t in batch["text"]]}
+            yield pd.DataFrame({**made, "x": [featurise(t).tobytes() for t in batch["text"]]})
+
+    return sample.mapInPandas(run, "grade int, h long, signature binary, x binary")
+
 
-    signed = sample.mapInPandas(sign, "h long, side int, signature binary").toPandas().sort_values("h")
+def screen(rows: DataFrame, bits: int, least: float = 24.0, lift: float = 5.0) -> np.ndarray:
+    """The features that tell higher grades from the lowest: a G-squared of `least` or more (chance alone gives that to
+    about one in a million), and at least `lift` times as common in the higher grades; sorted by number. Near copies count once in the
+    lowest grade and once in the higher ones. rows: as featurised."""
+    lowest = rows.agg(F.min("grade")).first()[0]
+    signed = rows.select("h", (F.col("grade") > lowest).cast("int").alias("side"), "signature").toPandas().sort_values(["h", "side"])
     sides = signed["side"].to_numpy()
     copies = later_copies(np.frombuffer(b"".join(signed["signature"]), np.uint64).reshape(-1, _HASHES), sides)
     left_out = frozenset(zip(signed["h"][copies].tolist(), sides[copies].tolist(), strict=True))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        featurise, sums = Featuriser(bits), np.zeros((2, 1 << bits), np.int32)
+        sums = np.zeros((2, 1 << bits), np.int32)
         for batch in batches:
-            for text, grade in zip(batch["text"], batch["grade"], strict=True):
-                if (_number(text), int(grade > lowest)) not in left_out:
-                    sums[int(grade > lowest), list(set().union(*featurise.words(text)))] += 1
+            for h, grade, x in zip(batch["h"], batch["grade"], batch["x"], strict=True):
+                if (int(h), int(grade > lowest)) not in left_out:
+                    sums[int(grade > lowest), np.unique(np.frombuffer(x, np.uint32))] += 1
         there = np.nonzero(sums.any(axis=0))[0]
         yield pd.DataFrame({"f": there, "low": sums[0, there], "high": sums[1, there]})
 
-    sums = sample.mapInPandas(count, "f long, low long, high long").groupBy("f").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
+    sums = rows.select("h", "grade", "x").mapInPandas(count, "f long, low long, high long").groupBy("f").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
     n = {"low": int((~copies & (sides == 0)).sum()), "high": int((~copies & (sides == 1)).sum())}
     total = float(n["low"] + n["high"])
 
@@ -198,27 +209,32 @@ def screen(sample: DataFrame, chosen: int, bits: int, least: float = 24.0, lift:
         for s, size in zip(cells, (float(n["low"]), float(n["high"])), strict=True)
     ]
     more = (F.col("high") + 0.5) / (n["high"] + 1) >= lift * (F.col("low") + 0.5) / (n["low"] + 1)
-    found = sums.where(both > 1).withColumn("g2", 2 * sum(parts)).where((F.col("g2") >= least) & more)
-    found = Workspace(sample.sparkSession, "toxicity").table(found.select("f", "g2"), "features")
-    return np.array(sorted(r["f"] for r in highest(found, "g2", chosen, "f").select("f").collect()), np.int64)
+    # at most 2^bits numbers
+    found = sums.where(both > 1).where((2 * sum(parts) >= least) & more)
+    return np.array(sorted(r["f"] for r in found.select("f").collect()), np.int64)
 
 
-def train(spark: SparkSession, docs: DataFrame, rows: int = 4000, chosen: int = 4096, bits: int = 20) -> Model:
+def train(spark: SparkSession, docs: DataFrame, rows: int = 4000, bits: int = 20) -> Model:
     """A model of docs (text, grade): whole numbers, the lowest the mildest; grades between them that no row has are kept as levels."""
-    sample = Workspace(spark, "toxicity").table(sample_by_hash(docs.withColumn("grade", F.col("grade").cast("int")), "grade", rows).repartition(_TASKS), "sample")
+    graded = docs.withColumn("grade", F.col("grade").cast("int"))
+    work = Workspace(spark, "toxicity")
+    sample = work.table(featurised(sample_by_hash(graded, "grade", rows).repartition(_TASKS), bits), "sample")
     ends = sample.agg(F.min("grade"), F.max("grade")).first()
     if ends[0] is None or ends[0] == ends[1]:
         return Model(bits, np.empty(0, np.int64), np.empty(0), np.empty(0), ends[0] or 0)
-    model = Model(bits, screen(sample, chosen, bits), np.empty(0), np.empty(0), ends[0])
+    chosen = screen(sample, bits)
 
     def picked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        featurise = Featuriser(bits, model.chosen)
+        place = np.full(1 << bits, -1, np.int64)
+        place[chosen] = np.arange(len(chosen))
         for batch in batches:
-            yield pd.DataFrame({"grade": batch["grade"], "x": [featurise(t) for t in batch["text"]]})
+            found = [place[np.frombuffer(x, np.uint32)] for x in batch["x"]]
+            yield pd.DataFrame({"grade": batch["grade"], "h": batch["h"], "x": [np.sort(f[f >= 0]) for f in found]})
 
-    found = sample.mapInPandas(picked, "grade int, x array<long>").toPandas()
-    model.weights, model.thresholds = fit([np.asarray(x, np.int64) for x in found["x"]], found["grade"].to_numpy() - ends[0], len(model.chosen), ends[1] - ends[0] + 1)
-    return model
+    found = sample.select("grade", "h", "x").mapInPandas(picked, "grade int, h long, x array<long>").toPandas().sort_values(["h", "grade"])
+    work.close()
+    weights, thresholds = fit([np.asarray(x, np.int64) for x in found["x"]], found["grade"].to_numpy() - ends[0], len(chosen), ends[1] - ends[0] + 1)
+    return Model(bits, chosen, weights, thresholds, ends[0])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -232,9 +248,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
-        featurise = Featuriser(own.bits, own.chosen)
+        total = Scorer(own)
         for batch in batches:
-            totals = np.array([own.weights[featurise(t)].sum() for t in batch.column("text").to_pylist()]).reshape(-1)
+            totals = np.array([total(t) for t in batch.column("text").to_pylist()], float)
             above = own.above(totals)
             edges = np.hstack([np.ones((len(totals), 1)), above, np.zeros((len(totals), 1))])
             grade = (edges[:, :-1] - edges[:, 1:]).argmax(axis=1) + own.lowest
@@ -245,22 +261,12 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return base.mapInArrow(run, StructType([*base.schema.fields]).add("severity", DoubleType()).add("grade", IntegerType()).add("score", DoubleType()))
 
 
-def graded(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = 4000, bits: int = 20, marks: int = 400, steps: tuple[int, ...] = (3,)) -> DataFrame:
-    """text, grade of about `most` distinct labelled texts of each label: labels of two levels (doc_id, label), spread to grades.
-
-    A toxic text's grade is 1 and one more for each entry of `steps` that its number of distinct marked words exceeds; marked words hold one
-    of the `marks` features that tell toxic texts from others best.
-    """
-    two = Workspace(spark, "toxicity").table(labelled_sample(docs, labels, most).select("text", F.col("label").cast("int").alias("grade")).repartition(_TASKS), "labelled")
-    if two.select("grade").distinct().count() < 2:
-        return two
-    best = screen(two, marks, bits)
+def severity_grades(toxic: Column, quality: Column) -> Column:
+    """0 where toxic is 0, 1 where it is 1 and quality 0, 2 where quality is another one or unknown; null where toxic is null."""
+    return F.when(toxic == 0, 0).when(toxic == 1, F.when(quality == 0, 1).otherwise(2))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        featurise = Featuriser(bits, best)
-        for batch in batches:
-            marked = [len(featurise.words(t)) if g else 0 for t, g in zip(batch["text"], batch["grade"], strict=True)]
-            batch["grade"] = [int(g > 0) * (1 + sum(m > s for s in steps)) for m, g in zip(marked, batch["grade"], strict=True)]
-            yield batch[["text", "grade"]]
 
-    return two.mapInPandas(run, "text string, grade int")
+def labelled(spark: SparkSession, docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
+    """text, grade of about `most` distinct texts of each grade; docs: doc_id, text; labels: doc_id, grade (of several the severest counts)."""
+    some = labelled_sample(docs.select("doc_id", "text"), labels.select("doc_id", F.col("grade").cast("int").alias("label")), most)
+    return Workspace(spark, "toxicity").table(some.select("text", F.col("label").alias("grade")), "labelled")

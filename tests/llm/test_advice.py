@@ -48,10 +48,10 @@ def test_ties_and_near_copies_leave_room_for_other_features(spark):
     tied = [word(8) for _ in range(30)]
     rows += [(" ".join([*rng.sample(tied, 30), *(word(5) for _ in range(20))]), 1) for _ in range(60)]
     sample = spark.createDataFrame(rows, "text string, grade int")
-    found = toxicity.screen(sample, 400, 20)
+    found = set(toxicity.screen(toxicity.featurised(sample, 20), 20).tolist())
     assert xxhash.xxh32_intdigest("vilename") % (1 << 20) in found
-    few = toxicity.screen(sample, 30, 20)
-    assert len(few) == 30 and set(few) <= {xxhash.xxh32_intdigest(p) % (1 << 20) for w in tied for p in toxicity.strings(w)}
+    # however many features tie, all of them stay
+    assert found >= {xxhash.xxh32_intdigest(p) % (1 << 20) for w in tied for p in toxicity.strings(w)}
 
 
 # pipeline

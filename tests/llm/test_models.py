@@ -8,8 +8,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from sievewright.llm import langid, quality, queries, toxicity, urlfilter
+from sievewright.llm.common import Workspace
 from tests.llm.helpers import LONG, documents, edge_docs, edge_rows, empty_docs
 
 # language
@@ -145,13 +148,32 @@ def test_toxicity_of_held_out_documents(spark):
     assert np.mean(caught) >= 0.9 and np.mean(false) <= 0.02
 
 
+def test_scores_against_plain_sums(spark):
+    """A model's scores, grades and severities from its weights, by counting every feature of every distinct word."""
+    rows = _toxic_rows(200) + [(1000, "vilename " * 20000, 2), (1001, None, 0), (1002, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    model = toxicity.train(spark, docs.where("doc_id < 1000").select("text", "grade"))
+    weight = dict(zip(model.chosen.tolist(), model.weights.tolist(), strict=True))
+    for r in toxicity.predict(docs, model).collect():
+        text = rows[[i for i, *_ in rows].index(r.doc_id)][1] or ""
+        total = sum(weight.get(f, 0.0) for w in set(re.findall(r"[^\W\d_]+", text.lower())) for f in {xxhash.xxh32_intdigest(x) % (1 << 20) for x in toxicity.strings(w)})
+        above = [1 / (1 + math.exp(t - total)) for t in model.thresholds]
+        p = [a - b for a, b in itertools.pairwise([1.0, *above, 0.0])]
+        assert (r.severity, r.score) == (pytest.approx(sum(above)), pytest.approx(above[0])) and p[r.grade] == pytest.approx(max(p))
+
+
+def test_severity_grades(spark):
+    frame = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 0), (1, None), (None, 0)], "toxic int, quality int")
+    assert [r[0] for r in frame.select(toxicity.severity_grades(frame.toxic, frame.quality)).collect()] == [0, 0, 2, 1, 2, None]
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = edge_docs(spark)
-    labels = spark.createDataFrame([(1, 1), (5, 1), (5, 0), (4, 0), (None, 1), (99, 0)], "doc_id long, label int")
-    model = toxicity.train(spark, toxicity.graded(spark, docs, labels))
+    labels = spark.createDataFrame([(1, 1), (5, 1), (5, 0), (4, 0), (None, 1), (99, 0)], "doc_id long, grade int")
+    model = toxicity.train(spark, toxicity.labelled(spark, docs, labels))
     assert toxicity.predict(docs, model).count() == len(edge_rows())
     assert toxicity.predict(empty_docs(spark), model).count() == 0
-    none = toxicity.train(spark, toxicity.graded(spark, empty_docs(spark), labels.limit(0)))
+    none = toxicity.train(spark, toxicity.labelled(spark, empty_docs(spark), labels.limit(0)))
     assert {r.severity for r in toxicity.predict(docs, none).collect()} == {0.0}
 
 
@@ -167,32 +189,96 @@ def test_quality_of_held_out_documents(spark):
     assert np.mean([r.predicted == label[r.doc_id] for r in held]) > 0.95
 
 
-def test_risk_needs_no_negatives_and_estimates_the_prior(spark):
+def _local(positive, unlabelled):
+    """Sums over rows in memory, in parts."""
+    x = np.vstack([np.hstack([np.vstack([positive, unlabelled]), np.ones((len(positive) + len(unlabelled), 1))])])
+    p = np.arange(len(x)) < len(positive)
+    return lambda f: [sum(parts) for parts in zip(*(f(x[k::3], p[k::3]) for k in range(3)), strict=True)]
+
+
+def _risk(w, positive, unlabelled, prior, decay=1e-4):
+    f, g = positive @ w[:-1] + w[-1], unlabelled @ w[:-1] + w[-1]
+    inner = np.logaddexp(0, g).mean() - prior * np.logaddexp(0, f).mean()
+    return prior * np.logaddexp(0, -f).mean() + max(0.0, inner) + decay / 2 * (w[:-1] ** 2).sum(), inner
+
+
+def test_risk_is_smallest_and_needs_no_negatives():
     rng = np.random.default_rng(5)
-    positive = rng.normal(1.5, 1, (400, 2))
-    unlabelled = np.vstack([rng.normal(1.5, 1, (300, 2)), rng.normal(-1.5, 1, (300, 2))])
-    w = quality.fit(positive, unlabelled, 0.5)
+    positive = rng.normal(1.0, 1, (400, 2))
+    unlabelled = np.vstack([rng.normal(1.0, 1, (300, 2)), rng.normal(-1.0, 1, (300, 2))])
+    w = quality.minimise(_local(positive, unlabelled), 3, 0.5, 400, 600)
+    least, inner = _risk(w, positive, unlabelled, 0.5)
+    assert inner > 0 and all(_risk(w + rng.normal(0, s, 3), positive, unlabelled, 0.5)[0] > least - 1e-6 for s in (1e-3, 0.03, 0.3) for _ in range(200))
     f = unlabelled @ w[:2] + w[2]
-    assert (f[:300] > 0).mean() > 0.9 and (f[300:] < 0).mean() > 0.9
+    assert (f[:300] > 0).mean() > 0.85 and (f[300:] < 0).mean() > 0.85
+
+
+def test_the_inner_risk_stays_non_negative():
+    # far fewer positives among the unlabelled than the prior says: the unclamped risk falls below zero
+    rng = np.random.default_rng(6)
+    positive, unlabelled = rng.normal(2, 1, (300, 4)), np.vstack([rng.normal(2, 1, (30, 4)), rng.normal(-2, 1, (570, 4))])
+    free, held = (quality.minimise(_local(positive, unlabelled), 5, 0.6, 300, 600, clamp=c) for c in (False, True))
+    assert _risk(free, positive, unlabelled, 0.6)[1] < 0 <= _risk(held, positive, unlabelled, 0.6)[1]
+    assert _risk(held, positive, unlabelled, 0.6)[0] < _risk(np.zeros(5), positive, unlabelled, 0.6)[0]
+
+
+@pytest.mark.parametrize("share", [0.1, 0.5, 0.85])
+def test_the_prior_of_a_known_mixture(share):
+    rng = np.random.default_rng(8)
+    n = 20_000
+    positive, ones = rng.normal(1.5, 1, (5000, 3)), int(n * share)
+    unlabelled = np.vstack([rng.normal(1.5, 1, (ones, 3)), rng.normal(-1.5, 1, (n - ones, 3))])
+    w = quality.apart(_local(positive, unlabelled), 4, 5000, n)
+    bins = [np.histogram(1 / (1 + np.exp(-(x @ w[:3] + w[3]))), bins=1024, range=(0, 1))[0] for x in (positive, unlabelled)]
+    assert quality.prior_of(*bins) == pytest.approx(share, abs=0.03)
+    assert quality.prior_of(bins[0] * 0, bins[1]) == 0.5
+
+
+def test_quality_does_not_depend_on_the_layout(spark):
+    docs = documents(spark, "sf0.01").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    models = [quality.train(spark, Workspace(spark, "layout").table(quality.vectors(docs.repartition(n)), "v"), labels) for n in (1, 7)]
+    assert models[0].prior == pytest.approx(models[1].prior, abs=1e-3) and 0.8 < models[0].prior < 0.9
+    assert np.allclose(models[0].weights, models[1].weights, atol=0.05)
 
 
 def test_quality_of_odd_rows(spark):
-    docs = edge_docs(spark)
+    docs = quality.vectors(edge_docs(spark))
     labels = spark.createDataFrame([(4, 1), (5, 1), (9, 0), (6, 1), (6, 0), (None, 1)], "doc_id long, label int")
-    model = quality.train(docs, labels)
-    rows = quality.score(docs, model).collect()
+    rows = quality.score(docs, quality.train(spark, docs, labels)).collect()
     assert len(rows) == len(edge_rows()) and all(0 <= float(r.score) <= 1 for r in rows)
     assert len({r.score for r in rows if r.doc_id in (1, 2)}) == 1
-    assert quality.score(empty_docs(spark), model).count() == 0
-    only = quality.train(docs, labels.where("label = 1"))
-    assert 0 < only.prior < 1
-    nothing = quality.train(empty_docs(spark), labels.limit(0))
-    assert {r.score for r in quality.score(docs, nothing).collect()} == {0.5}
-
-
-def test_features_are_whole_text():
-    assert (quality.features(None) == 0).all() and (quality.features("") == 0).all()
-    assert not np.allclose(quality.features(LONG), quality.features(LONG + "!" * 20000))
+    empty = quality.vectors(empty_docs(spark))
+    assert quality.score(empty, quality.train(spark, docs, labels)).count() == 0
+    assert 0 < quality.train(spark, docs, labels.where("label = 1")).prior < 1
+    for nothing in (quality.train(spark, empty, labels), quality.train(spark, docs, labels.where("label = 0"))):
+        assert {r.score for r in quality.score(docs, nothing).collect()} == {0.5}
+
+
+def _slow_features(text):
+    raw = (text or "").encode()
+    if not raw:
+        return np.zeros(quality.N_FEATURES)
+    n, words, lines = len(raw), raw.split(), raw.split(b"\n")
+    m, sizes = max(1, len(words)), [len(w) for w in words] or [0]
+    upper = sum(65 <= c <= 90 for c in raw)
+    letters = max(1, upper + sum(97 <= c <= 122 for c in raw))
+    same = sum(a == b for a, b in itertools.pairwise(words))
+    lone = sum(len(w) == 1 and not w.isalnum() for w in words)
+    ends = [w.strip(b".,;:!?\"'()") for w in words]
+    odd = sum(bool(w) and 33 <= w[-1] < 127 and not w[-1:].isalnum() for w in ends)
+    shape = [
+        upper / letters, sum(48 <= c <= 57 for c in raw) / n, sum(c > 127 for c in raw) / n, raw.count(b" ") / n, raw.count(b"\n") / m, len(set(words)) / m, len(set(words)) / m**0.5,
+        same / m, (same / m) ** 0.5, lone / m, len(set(itertools.pairwise(words))) / m, odd / m, np.mean(sizes) / 10, np.std(sizes) / 10, max(sizes) ** 0.5 / 10, math.log1p(m) / 10,
+        len({x for x in lines if x}) / len(lines), math.log1p(max(map(len, lines))) / 10, float(bool(words)),
+    ]
+    return np.array([*((raw.count(bytes([c])) / m) ** 0.5 for c in quality._PUNCT), *shape])
+
+
+def test_features_against_plain_counts(spark):
+    odd = [None, "", " \n\t ", "a", "!!", "(a) \"b\" c: d# e#. ...", "x x x y", "\x0b a\x0cb \x1c c", "ß ß é", LONG]
+    for text in [*odd, *(r.text for r in documents(spark).limit(60).collect())]:
+        assert np.allclose(quality.features(text), _slow_features(text)), text
 
 
 # URLs
