@@ -1,7 +1,7 @@
 """Language identification by prediction by partial matching over bytes.
 
-Each language has a context tree of byte strings up to `order` long, counted on a bounded sample of its training texts and then
-frozen. A byte's code length in a language is -log2 of its probability in the longest known context that has seen
+Each language has a context tree of byte strings up to `order` long, counted on a bounded sample of its training texts, chosen by hash and each counted alone, and then
+frozen: the statistics do not depend on how the table lies in files and partitions. A byte's code length in a language is -log2 of its probability in the longest known context that has seen
 it, plus the escapes (method C, without exclusion) from the longer known contexts that have not; the last resort is uniform over 256 bytes. A text's code
 length is the exact sum over its bytes; the language with the shortest wins, ties to the smaller name, and the score is its
 share of 2^-length among all languages.
@@ -168,9 +168,14 @@ def train(docs: DataFrame, order: int = 3, rows_per_language: int = 1500) -> Tre
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, own in batch.groupby("lang"):
-                data = np.frombuffer(b"".join(b" " * order + plain(t) + b" " for t in own["text"]), np.uint8)
+                # each text alone, between blanks: the blanks before it are context and not counted, so counts do not depend on which texts meet
+                parts = [b" " * order + plain(t) + b" " for t in own["text"]]
+                data, ends = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(p) for p in parts])
+                counted = np.ones(len(data), bool)
+                for k in range(order):
+                    counted[ends - [len(p) for p in parts] + k] = False
                 for size in range(1, order + 2):
-                    gram, n = np.unique(grams(data, size)[order:], return_counts=True)
+                    gram, n = np.unique(grams(data, size)[counted], return_counts=True)
                     yield pd.DataFrame({"lang": lang, "size": size, "gram": gram.view(np.int64), "n": n})
 
     counts = few.mapInPandas(count, "lang string, size int, gram long, n long")
