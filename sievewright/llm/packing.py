@@ -2,12 +2,12 @@
 
 A first pass tokenises every document and writes one small row per piece (no token ids travel further).
 Pieces are then dealt by a hash of their row number into packing groups of about `group_pieces` pieces; each
-group is packed by one online best-fit packer with a fixed number of open bins. The stream of a group is
-ordered by falling length, which lets small pieces fill what large ones leave; groups are independent, so
+group is packed by one online best-fit packer: pieces come in the order of their row numbers, each is placed before the next is seen, and at most `open_bins` bins
+are open. A piece goes into the open bin with the least free space that holds it, else into a new one; where a bin too many would be open, the fullest closes. Groups are independent, so
 the packing scales with their number and memory is bounded by one group.
 
-Defined results: a null or empty text is the end token alone; repeated rows are packed once each; an empty
-table gives no rows; extra columns are ignored; a text of any length is cut into pieces, never truncated.
+Defined results: a null or empty text is the end token alone; repeated rows are packed once each; of open bins with equal space the last one filled is taken, and of equally full ones it
+closes; an empty table gives no rows; extra columns are ignored; a text of any length is cut into pieces, never truncated.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ class Bins:
 
     def __init__(self, capacity: int, most: int):
         self.capacity, self.most = capacity, most
-        self.bits, self.open, self.made = 0, 0, 0
+        self.bits, self.open, self.made, self.closed = 0, 0, 0, 0
         self.by_free: dict[int, list[int]] = {}
 
     def _take(self, free: int) -> int:
@@ -56,8 +56,12 @@ class Bins:
             found, free = self.made, self.capacity
             self.made += 1
         if left := free - length:
-            if self.open >= self.most:  # the fullest closes first
-                self._take((self.bits & -self.bits).bit_length() - 1)
+            if self.open >= self.most:  # the fullest closes first, which may be this one
+                self.closed += 1
+                least = (self.bits & -self.bits).bit_length() - 1
+                if left <= least:
+                    return found, self.capacity - free
+                self._take(least)
             self.by_free.setdefault(left, []).append(found)
             self.bits |= 1 << left
             self.open += 1
@@ -130,8 +134,8 @@ def pack(
     vocabulary: str,
     ranks: str | None = None,
     capacity: int = CAPACITY,
-    open_bins: int = 4096,
-    group_pieces: int = 8192,
+    open_bins: int = 256,
+    group_pieces: int = 32768,
 ) -> DataFrame:
     """Packs documents (doc_id, text) into sequences of at most `capacity` tokens.
 
@@ -142,7 +146,7 @@ def pack(
     groups = max(1, -(-cuts.count() // group_pieces))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["length", "uid"], ascending=[False, True], kind="stable")
+        part = part.sort_values("uid", kind="stable")
         bins, base = Bins(capacity, open_bins), int(part["grp"].iloc[0]) << 32
         placed = [bins.put(int(length)) for length in part["length"]]
         part["sequence_id"] = [base + b for b, _ in placed]
