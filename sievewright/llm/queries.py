@@ -19,7 +19,7 @@ def vocabulary(name: str) -> str:
 
 def op1_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the packing evens out bytes first, so the law is `bytes`
-    placed = sharding.shard(spark, read(spark, sf_dir, "documents"), shards=8)
+    placed = sharding.shard(spark, read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), shards=8)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens"
     )

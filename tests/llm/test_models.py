@@ -23,10 +23,10 @@ def _slow_trees(texts, order):
     trees = {}
     for lang, own in texts.items():
         tree = defaultdict(Counter)
-        data = b"".join(b" " * order + langid.plain(t) + b" " for t in own)
-        for at in range(order, len(data)):
-            for k in range(order + 1):
-                tree[data[at - k : at]][data[at]] += 1
+        for data in (b" " * order + langid.plain(t) + b" " for t in own):
+            for at in range(order, len(data)):
+                for k in range(order + 1):
+                    tree[data[at - k : at]][data[at]] += 1
         trees[lang] = tree
     return trees
 
@@ -53,7 +53,6 @@ def test_code_lengths_are_exact(spark):
     texts = {"en": ["the cat sat on the mat", "a rat, the other cat"], "de": ["die katze saß auf der matte", "über den hund"]}
     rows = [(t, lang) for lang, own in texts.items() for t in own]
     trees = langid.train(spark.createDataFrame(rows, "text string, lang string").coalesce(1), order=3)
-    # the sample's order in a task does not matter to a text's own strings, but blanks between texts do: count each text alone
     slow = _slow_trees(texts, 3)
     probes = ["the hat", "katze über", "zzz qqq", "Überßat é 12 the", "a", "the cat " * 30]
     made = trees.bits([langid.plain(p) for p in probes])
@@ -62,6 +61,13 @@ def test_code_lengths_are_exact(spark):
         assert row == pytest.approx(want, rel=1e-9)
 
 
+def test_statistics_do_not_depend_on_the_layout(spark):
+    docs = documents(spark, "sf0.01").select("doc_id", "text", "lang")
+    probes = [langid.plain(r.text) for r in docs.limit(50).collect()]
+    one, many = (langid.train(docs.repartition(n).select("text", "lang")) for n in (1, 211))
+    assert (one.bits(probes) == many.bits(probes)).all()
+
+
 def test_long_texts_are_coded_whole():
     counts = langid.pd.DataFrame([("en", k + 1, int.from_bytes(b"abab"[3 - k : 4]), 5) for k in range(4)], columns=["lang", "size", "gram", "n"])
     trees = langid.Trees(["en"], 3, counts)

@@ -1,5 +1,7 @@
 """Sharding, packing, licences and exact search against brute force."""
 
+import hashlib
+import inspect
 import itertools
 import random
 import re
@@ -38,24 +40,55 @@ def test_shards_are_even_and_keep_groups(spark, small):
         assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(raw) + 1, zlib.crc32(raw), "bytes", None)
 
 
-def test_shards_cut_a_group_that_is_too_large(spark):
-    docs = spark.createDataFrame([(i, "the same text") for i in range(600)] + [(1000 + i, f"text number {i}") for i in range(600)], "doc_id long, text string")
-    rows = sharding.shard(spark, docs, shards=4).collect()
-    count = Counter(r.shard for r in rows)
+def test_shards_cut_only_a_group_that_fits_none(spark):
+    docs = spark.createDataFrame([(i, "the same text") for i in range(600)] + [(1000 + i, f"text number {i % 300}") for i in range(600)], "doc_id long, text string")
+    rows = sharding.shard(spark, docs, *_vocabulary(), shards=4).collect()
+    count, homes = Counter(r.shard for r in rows), defaultdict(set)
+    for r in rows:
+        homes[r.text_crc32].add(r.shard)
     assert len(rows) == 1200 and max(count.values()) < 1.1 * min(count.values())
+    assert [c for c, own in homes.items() if len(own) > 1] == [zlib.crc32(b"the same text")]
 
 
 def test_shards_of_odd_rows(spark):
-    rows = sharding.shard(spark, edge_docs(spark), shards=3).collect()
+    rows = sharding.shard(spark, edge_docs(spark), *_vocabulary(), shards=3).collect()
     assert len(rows) == len(edge_rows())
-    assert {r["size"] for r in rows if r.doc_id in (1, 2)} == {1}
-    assert sharding.shard(spark, empty_docs(spark)).count() == 0
+    assert {(r["size"], r.tokens) for r in rows if r.doc_id in (1, 2)} == {(1, 0)}
+    assert sharding.shard(spark, empty_docs(spark), *_vocabulary()).count() == 0
+
+
+def _slow_place(shares, free):
+    out = {}
+    for unit in sorted(range(len(shares)), key=lambda u: (-shares[u][0], -sum(shares[u]), u)):
+        fits = [s for s in range(len(free)) if free[s][0] >= shares[unit][0]]
+        best = max(fits, key=lambda s: (sum(a * b for a, b in zip(free[s], shares[unit], strict=True)), -s)) if fits else max(range(len(free)), key=lambda s: (free[s][0], -s))
+        out[unit] = best
+        free[best] = [a - b for a, b in zip(free[best], shares[unit], strict=True)]
+    return [out[u] for u in range(len(shares))]
+
 
+def test_each_unit_goes_where_the_dot_product_is_highest():
+    rng = random.Random(12)
+    for _ in range(30):
+        # whole numbers of 1/1024, so that no sum is rounded
+        shares = [[rng.randint(1, 9) / 1024 for _ in range(3)] for _ in range(rng.randint(1, 60))]
+        free = [[rng.randint(40, 60) / 1024 for _ in range(3)] for _ in range(4)]
+        assert sharding.place(np.array(shares), np.array(free)).tolist() == _slow_place(shares, free)
 
-def test_a_unit_goes_where_the_dot_product_is_highest():
-    loads = np.array([[40, 1, 1], [40, 1, 1], [10, 30, 1], [10, 30, 1]])
-    at = sharding.place(loads, 2)
-    assert at[0] != at[1] and at[2] != at[3]
+
+def test_shards_against_brute_force(spark):
+    """One block of groups, none of them large: the whole placement by plain sums, tokens by the other library."""
+    docs = documents(spark).select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    encode = packing.encoder(_vocabulary()[0])
+    tokens = {t: len(encode(t)) for t in set(texts.values())}
+    rows = {r.doc_id: r for r in sharding.shard(spark, docs, *_vocabulary(), units=1, shards=5).collect()}
+    held = Counter(texts.values())
+    groups = sorted(held, key=lambda t: hashlib.md5(t.encode()).digest())
+    loads = [((len(t.encode()) + 1) * held[t], tokens[t] * held[t], held[t]) for t in groups]
+    totals = [sum(x) for x in zip(*loads, strict=True)]
+    at = dict(zip(groups, _slow_place([[x / n for x, n in zip(own, totals, strict=True)] for own in loads], [[0.2] * 3 for _ in range(5)]), strict=True))
+    assert {i: (r.tokens, r.shard) for i, r in rows.items()} == {i: (tokens[t], at[t]) for i, t in texts.items()}
 
 
 # packing
@@ -89,12 +122,24 @@ def _check_packing(rows, texts, capacity=2048):
     return sum(r.length for r in rows), len(by_sequence)
 
 
-def test_packing_round_trip(spark):
-    docs = documents(spark)
-    tokens, sequences = _check_packing(_packed(spark, docs), {r.doc_id: r.text for r in docs.collect()})
+def test_packing_of_a_whole_table(spark):
+    """Every piece's ids against the named library, and sequences of a whole table."""
+    docs = documents(spark, "sf0.01")
+    tokens, sequences = _check_packing(queries.op5_best_fit_packing(spark, "/root/testdata/sf0.01").collect(), {r.doc_id: r.text for r in docs.collect()})
     assert sequences <= -(-tokens // 2048) * 1.02 + 1
 
 
+def test_bins_close_in_the_query(spark):
+    """With the query's bound, a table of 10,000 documents closes bins, and few sequences more are made than without a bound."""
+    cut = packing.pieces(documents(spark, "sf0.1"), *_vocabulary()).select("uid", "length").toPandas().sort_values("uid")["length"].tolist()
+    bound = inspect.signature(packing.pack).parameters["open_bins"].default
+    held, free = packing.Bins(2048, bound), packing.Bins(2048, len(cut))
+    for length in cut:
+        held.put(length)
+        free.put(length)
+    assert held.closed > 100 and free.closed == 0 and held.open <= bound and held.made <= 1.005 * free.made
+
+
 def test_packing_of_odd_rows(spark):
     rows = _packed(spark, edge_docs(spark))
     own = {i: t for i, t, *_ in edge_rows() if i is not None and i != 6}
@@ -124,12 +169,14 @@ def test_bins_are_best_fit_and_bounded():
             assert number not in free and offset == 0
         left = free.pop(number, 100) - length
         if left:
-            if len(free) >= 8:
-                least = min(free.values())
-                closed = [k for k, v in free.items() if v == least and k not in {x for s in bins.by_free.values() for x in s}]
-                assert len(closed) == 1
-                del free[closed[0]]
             free[number] = left
+        if len(free) > 8:
+            # the fullest of all, the new one among them, is closed
+            now = {x for s in bins.by_free.values() for x in s}
+            closed = [k for k in free if k not in now]
+            assert len(closed) == 1 and free[closed[0]] == min(free.values())
+            del free[closed[0]]
+        assert bins.open == len(free) <= 8
 
 
 # licences
