@@ -79,6 +79,20 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def among(rows: DataFrame, key: str, keys: DataFrame, bits: int = 25) -> DataFrame:
+    """The rows whose key (long) may be one of keys' first column: all that are, and some others. Saves a shuffle of the rows that are surely not.
+
+    The keys' hashes set bits of a map of 2^bits bits, which is broadcast as at most 2^(bits - 6) rows of 16 bytes, however many keys there are.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    word = lambda c: F.shiftright(slot(c), 6)
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot(c), F.lit(64)).cast("int"))
+    own = keys.columns[0]
+    held = keys.select(word(own).alias("word_"), bit(own).alias("bit_")).groupBy("word_").agg(F.bit_or("bit_").alias("bits_"))
+    found = rows.withColumn("word_", word(key)).join(F.broadcast(held), "word_")
+    return found.where(F.col("bits_").bitwiseAND(bit(key)) != 0).select(*(F.col(f"`{c}`") for c in rows.columns))
+
+
 def sample_by_hash(docs: DataFrame, kind: str, most: int, literal: int = 1000) -> DataFrame:
     """text and kind of about `most` distinct texts of each value of `kind` (all, where there are fewer), chosen by their hashes; nulls take no part.
 

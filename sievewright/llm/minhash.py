@@ -6,15 +6,17 @@ threshold: a pair just at it misses every band with a probability of at most `mi
 
 From buckets to links without all pairs of a bucket:
 1. Equal shingle sets become one node first, so exact copies cost one row each.
-2. In every bucket each node is paired with one pivot, another one in each bucket. Pairs within the bounds below are
-   confirmed on the full sets; confirmed links make components.
-3. Buckets whose nodes then lie in different components remain. Their nodes outside the bucket's largest component are
-   paired with all nodes of other components there, filtered and confirmed alike. Pairs inside a component need no test:
-   one more link there changes nothing.
-So every pair of a bucket is confirmed, refused by a bound, or already connected. Both bounds are exact, they refuse no linked
+2. In every bucket each node is paired with one pivot, the bucket's first node in an order that all buckets share, so that the pairs of a group's buckets coincide. Pairs within the bounds
+   below are confirmed on the full sets; confirmed links make components. A pivot of many pairs is sent to as many parts as its largest bucket asks for.
+3. Buckets whose nodes then lie in different components remain. Their nodes are joined by prefixes: of two linked sets, each with its shingles ordered by how many of these nodes hold them, the rarest
+   first, the first n - ceil(t n) + 1 have one in common. So text that very many of them share makes no pairs. Pairs of different components within the bounds are confirmed alike; pairs inside a
+   component need no test: one more link there changes nothing.
+So every pair of a bucket is confirmed, refused by a bound, or already connected. The bounds are exact, they refuse no linked
 pair: sizes must be within the threshold of each other, and the odd sketches of two sets (bit h mod m is flipped by each
 shingle h) differ in at most as many bits as the sets differ in shingles, which the threshold limits.
 
+Texts move only for nodes that share a bucket: a bitmap of bounded size tells most others before the shuffle.
+
 Defined results: null, empty and wordless texts have an empty set, link with nothing and keep themselves; a text with fewer
 words than a shingle is one shingle; repeated rows are in the group of their set, and each row is returned; a row without
 doc_id takes the smallest doc_id that it reaches (null if none) and is kept only if it reaches no row with one; texts are used whole; an
@@ -30,15 +32,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import Workspace, plain_words
+from sievewright.llm.common import Workspace, among, plain_words
 from sievewright.llm.components import components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
 _KNOWN_WORDS = 200_000
+#: A pivot's pairs are dealt to parts of about so many.
+_FAN = 64
 
 
 @dataclass(frozen=True)
@@ -161,16 +165,6 @@ def _sets(texts: DataFrame, plan: Plan) -> DataFrame:
     return texts.select("nid", "text").mapInPandas(run, "nid long, n long, sketch array<long>, shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    one = sets.select(F.col("nid").alias("b"), F.col("shingles").alias("of_b"))
-    two = sets.select(F.col("nid").alias("a"), F.col("shingles").alias("of_a"))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - common
-    # b may be a pivot of very many pairs: these rows are small when they are dealt by b, and Spark splits such a partition
-    return pairs.join(one, "b").join(two, "a").where(plan.denominator * common.cast("long") >= plan.numerator * union.cast("long")).select("a", "b")
-
-
 def _facts(sets: DataFrame, plan: Plan, side: str) -> DataFrame:
     """nid and what the bounds need of it, named by a side; the sketch's first longs are columns of their own, which compare faster."""
     head = [F.col("sketch")[k].alias(f"head{k}_{side}") for k in range(plan.head)]
@@ -189,6 +183,32 @@ def _near(plan: Plan):
     return size & (begun <= most) & (apart * whole <= most)
 
 
+def _tested(work: Workspace, pairs: DataFrame, sets: DataFrame, plan: Plan, parts: DataFrame | None, label: str) -> DataFrame:
+    """The pairs (a, b, and part where parts are given) whose full sets reach the threshold. parts: b, part: where a set is needed as the second of a pair."""
+    keys = ["b", "part"] if parts is not None else ["b"]
+    second = lambda facts: facts.join(parts, "b") if parts is not None else facts
+    near = pairs.join(_facts(sets, plan, "a"), "a").join(second(_facts(sets, plan, "b")), keys).where(_near(plan)).select("a", *keys)
+    near = work.table(near, f"{label}-near")
+    full = lambda side: sets.select(F.col("nid").alias(side), F.col("shingles").alias(f"of_{side}"))
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    union = F.size("of_a") + F.size("of_b") - common
+    both = near.join(full("a"), "a").join(second(full("b").join(near.select("b").distinct(), "b")), keys)
+    linked = both.where(plan.denominator * common.cast("long") >= plan.numerator * union.cast("long")).select("a", "b")
+    return work.table(linked, label)
+
+
+def _prefixes(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """nid, comp, n, s: of each node (nid, comp, n, shingles) the first n - ceil(t n) + 1 shingles, the rarest among all nodes first, without those that no other node holds."""
+    each = nodes.select("nid", "comp", "n", F.explode("shingles").alias("s"))
+    held = each.groupBy("s").agg(F.count("*").alias("c")).where("c > 1")
+    shared = each.join(held, "s")
+    of_node = Window.partitionBy("nid")
+    least = F.ceil(F.col("n") * plan.numerator / plan.denominator)
+    # those that no other node holds come first
+    alone = F.col("n") - F.count("*").over(of_node)
+    return shared.withColumn("left", F.col("n") - least + 1 - alone).withColumn("nth", F.row_number().over(of_node.orderBy("c", "s"))).where("nth <= left").select("nid", "comp", "n", "s")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
@@ -205,36 +225,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -
     )
     nodes = work.table(nodes, "nodes")
     buckets = nodes.select(F.explode("bands").alias("bucket"), "nid")
-    # XOR with the bucket's own number orders nodes otherwise in each bucket: its smallest is that bucket's pivot
-    shared = (
-        buckets.groupBy("bucket").agg(F.min(F.col("nid").bitwiseXOR(F.col("bucket"))).alias("least"), F.count("*").alias("members")).where("members > 1")
-        .select("bucket", F.col("least").bitwiseXOR(F.col("bucket")).alias("pivot"))
-    )
-    members = work.table(buckets.join(shared, "bucket").select("bucket", "nid", "pivot"), "members")
-    needed = nodes.join(members.select("nid").distinct(), "nid").select("nid", F.col("own.doc_id").alias("own_id"), F.col("own.tkey").alias("own_key"))
-    texts = _slim(docs).alias("d").join(needed.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.own_id")) & (F.col("d.tkey") == F.col("f.own_key")))
+    shared = work.table(buckets.groupBy("bucket").agg(F.min("nid").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "shared")
+    members = work.table(among(buckets, "bucket", shared).join(shared, "bucket"), "members")
+    needed = nodes.join(members.select("nid").distinct(), "nid").select(F.col("own.tkey").alias("own_key"), F.col("own.doc_id").alias("own_id"), "nid")
+    needed = work.table(needed, "needed")
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.own_id")) & (F.col("d.tkey") == F.col("f.own_key"))
+    texts = among(_slim(docs), "tkey", needed).alias("d").join(needed.alias("f"), same)
     sets = work.table(_sets(texts.dropDuplicates(["nid"]), plan), "sets")
 
-    def tested(pairs: DataFrame, label: str) -> DataFrame:
-        near = pairs.join(_facts(sets, plan, "a"), "a").join(_facts(sets, plan, "b"), "b").where(_near(plan)).select("a", "b")
-        return work.table(_confirmed(near, sets, plan), label)
-
-    links = tested(members.select(F.col("nid").alias("a"), F.col("pivot").alias("b")).where("a <> b").distinct(), "star-links")
+    pairs = members.where("nid <> pivot").groupBy(F.col("nid").alias("a"), F.col("pivot").alias("b")).agg(F.max("size").alias("size"))
+    fan = F.ceil(F.col("size") / _FAN)
+    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("a"), fan).alias("part"))
+    # a pivot's largest bucket has at least as many parts as any other of its buckets
+    parts = shared.groupBy(F.col("pivot").alias("b")).agg(F.max("size").alias("size")).select("b", F.explode(F.sequence(F.lit(0).cast("long"), fan - 1)).alias("part"))
+    links = _tested(work, pairs, sets, plan, parts, "star-links")
     found = work.table(components(work, links), "star-components")
 
-    placed = members.join(found.withColumnRenamed("node", "nid"), "nid", "left").select("bucket", "nid", F.coalesce("comp", "nid").alias("comp"))
-    parts = placed.groupBy("bucket", "comp").agg(F.count("*").alias("size")).groupBy("bucket").agg(
-        F.count("*").alias("parts"), F.max_by("comp", "size").alias("largest")
-    )
-    mixed = work.table(placed.join(parts.where("parts > 1").drop("parts"), "bucket"), "mixed")
-    minor = mixed.where("comp <> largest").select("bucket", F.col("nid").alias("a"), F.col("comp").alias("comp_a")).join(_facts(sets, plan, "a"), "a")
-    other = mixed.select("bucket", F.col("nid").alias("b"), F.col("comp").alias("comp_b"), F.col("largest").alias("largest_b")).join(_facts(sets, plan, "b"), "b")
-    # both minor: one direction is enough
-    once = (F.col("comp_b") == F.col("largest_b")) | (F.col("a") < F.col("b"))
-    across = minor.join(other, "bucket").where((F.col("comp_a") != F.col("comp_b")) & once & _near(plan)).select("a", "b").distinct()
-    more = work.table(_confirmed(across, sets, plan), "cross-links")
-    work.drop("members", "sets", "mixed")
-    found = work.table(components(work, links.union(more)), "components")
+    placed = members.select("bucket", "nid").join(found.withColumnRenamed("node", "nid"), "nid", "left").select("bucket", "nid", F.coalesce("comp", "nid").alias("comp"))
+    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one <> other").select("bucket")
+    open_ = work.table(placed.join(mixed, "bucket", "left_semi").select("nid", "comp").distinct(), "open")
+    first = work.table(_prefixes(open_.join(sets.select("nid", "n", "shingles"), "nid"), plan), "prefixes")
+    one, two = (first.select(F.col("nid").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}"), "s") for x in "ab")
+    sized = plan.denominator * F.least("n_a", "n_b") >= plan.numerator * F.greatest("n_a", "n_b")
+    across = one.join(two, "s").where((F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & sized).select("a", "b").distinct()
+    more = _tested(work, work.table(across, "across"), sets, plan, None, "cross-links")
+    work.drop("shared", "members", "needed", "sets", "open", "prefixes", "across", "star-links-near", "cross-links-near")
+    if not more.isEmpty():
+        found = work.table(components(work, links.union(more)), "components")
 
     of_node = nodes.join(found.withColumnRenamed("node", "nid"), "nid", "left").select("set_id", "least_id", "own", F.coalesce("comp", "nid").alias("comp"))
     least = of_node.groupBy("comp").agg(F.min("least_id").alias("component_id"), F.min("own").alias("first"))
