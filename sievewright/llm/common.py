@@ -11,6 +11,8 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievewright.sources import scan
+
 #: Bytes that end a word of the license contract: all ASCII but 0-9 and a-z, after lower-casing A-Z.
 _ALNUM = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -76,7 +78,7 @@ class Workspace:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return scan.parquet(spark, f"{sf_dir}/{table}.parquet")
 
 
 def among(rows: DataFrame, key: str, keys: DataFrame, bits: int = 25) -> DataFrame:

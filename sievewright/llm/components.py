@@ -1,6 +1,6 @@
 """Connected components of an edge table, by alternating large-star and small-star rounds.
 
-Every round is a grouped minimum and a join, written as a table; nothing is collected but two numbers per round.
+Every round is a grouped minimum and a join, written as a table; nothing is collected but whether another round is needed.
 """
 
 from __future__ import annotations
@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from sievewright.llm.common import Workspace
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first())
+def _open(edges: DataFrame) -> bool:
+    """Whether some node has two smaller ones, or a smaller and a larger one: else all edges (u, v) lead to the smallest node of their component."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up > 0 and down > 0").isEmpty()
 
 
 def components(work: Workspace, edges: DataFrame) -> DataFrame:
@@ -20,8 +22,8 @@ def components(work: Workspace, edges: DataFrame) -> DataFrame:
     edges = work.table(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges-0"
     )
-    was, now, turn = None, _state(edges), 0
-    while now != was and now[0]:
+    turn = 0
+    while _open(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -31,7 +33,6 @@ def components(work: Workspace, edges: DataFrame) -> DataFrame:
         turn += 1
         edges = work.table(hung.union(least.select("u", F.col("m").alias("v"))).distinct(), f"edges-{turn}")
         work.drop(f"edges-{turn - 1}")
-        was, now = now, _state(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
     )
