@@ -34,6 +34,11 @@ def profile(spark: SparkSession, path: str) -> DataFrame:
     return explore.schema_profile(spark.read.text(path))
 
 
+def profile_errors(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that a profile leaves out: path, line, record, error."""
+    return jsonl.errors(spark, path)
+
+
 def values(spark: SparkSession, path: str, field: str) -> tuple[DataFrame, DataFrame]:
     """The distinct non-blank values of a field of a JSON lines file, and its malformed lines."""
     records = jsonl.read(spark, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from datetime import datetime
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -56,9 +57,14 @@ def token(kind: str, m: re.Match) -> list[tuple[str, str, str, str]]:
     return [_made(y if kind == "two_years" else full, y) for y in g]
 
 
-def parse(text) -> list[tuple[str, str, str, str]]:
+def parse(text) -> tuple[tuple[str, str, str, str], ...]:
     """All dates of a text in the order they stand, each (year, month, day) once."""
-    text = " ".join(str(text).split()) if text else ""
+    return _parse(str(text)) if text else ()
+
+
+@lru_cache(maxsize=1 << 16)
+def _parse(text: str) -> tuple[tuple[str, str, str, str], ...]:
+    text = " ".join(text.split())
     taken: list[tuple[int, int]] = []
     found = []
     for kind, pattern in _COMPILED:
@@ -72,7 +78,7 @@ def parse(text) -> list[tuple[str, str, str, str]]:
             if d[1:] not in seen:
                 seen.add(d[1:])
                 out.append(d)
-    return out
+    return tuple(out)
 
 
 def all_dates(x: Column) -> Column:

@@ -44,8 +44,14 @@ def child(v: Column, key: str) -> Column:
     quoted = key.replace("\\", "\\\\").replace('"', '\\"')
     exact = F.try_variant_get(v, f'$["{quoted}"]', "variant")
     entries = F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
-    loose = F.get(F.filter(entries, lambda e: F.trim(e["key"]) == key.strip()), F.lit(0))["value"]
-    return F.get(F.filter(F.array(exact, loose), lambda x: x.isNotNull() & ~F.is_variant_null(x)), F.lit(0))
+    loose = F.get(F.filter(entries, lambda e: (F.trim(e["key"]) == key.strip()) & ~F.is_variant_null(e["value"])), F.lit(0))["value"]
+    # the entries are looked through only where the exact key gives nothing
+    return F.coalesce(_there(exact), loose)
+
+
+def _there(v: Column) -> Column:
+    """NULL for a JSON null."""
+    return F.get(F.filter(F.array(v), lambda x: x.isNotNull() & ~F.is_variant_null(x)), F.lit(0))
 
 
 def _children(items: Column, key: str) -> Column:
@@ -77,12 +83,28 @@ def explore(v: Column, path: str) -> Column:
     """All values at a path (explorer dialect): keys are exact, lists on the way are flattened; the last value may be a list."""
     items = F.array(v)
     for key in path.split("."):
-        for _ in range(3):  # nested lists: three levels of lists directly in lists
-            items = F.flatten(F.transform(items, as_list))
-        items = _exact(items, key)
+        items = _exact(_flat(items), key)
     return items
 
 
+def _flat(items: Column) -> Column:
+    """The items with every list, at whatever depth, replaced by what it holds."""
+
+    def is_list(x: Column) -> Column:
+        return F.try_variant_get(x, "$", "array<variant>").isNotNull()
+
+    def step(a: Column) -> Column:
+        return F.flatten(F.transform(a, as_list))
+
+    def deeper(a: Column) -> Column:
+        # lists directly in lists are rare; no list is deeper than there are opening brackets
+        text = F.array_join(F.transform(a, lambda x: F.to_json(x)), "")
+        levels = F.length(text) - F.length(F.replace(text, F.lit("["), F.lit("")))
+        return F.aggregate(F.sequence(F.lit(1), levels), a, lambda got, _: F.when(F.exists(got, is_list), step(got)).otherwise(got))
+
+    return let(step(items), lambda a: F.when(F.exists(a, is_list), deeper(a)).otherwise(a))
+
+
 def text(v: Column) -> Column:
     """A variant as text: strings as they are, booleans as True and False, lists and objects as JSON."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sievewright.functions.text import clean_text, is_token_empty, last_segment, strip
 from sievewright.registry import find, register
-from sievewright.sources.html import profile
+from sievewright.sources.html import profile, read_pages
 
 BROKEN = "#REF!"
 
@@ -30,28 +30,55 @@ def fix_vessel_rows(
 
 
 @register("enrich:record", "attach_profiles")
-def attach_profiles(rows: DataFrame, pages: DataFrame, images: DataFrame | None = None, url: str = "detail_url") -> DataFrame:
-    """Left join of records to profile pages by the name that their URL's last segment gives: dashes are blanks, upper case.
+def attach_profiles(
+    rows: DataFrame,
+    pages: DataFrame | None = None,
+    images: DataFrame | None = None,
+    url: str = "detail_url",
+    profile_dir: str | None = None,
+    images_dir: str | None = None,
+    suffix: str = " _ Anti-Terrorism Council",
+) -> DataFrame:
+    """Left join of records to profile pages: the URL's last segment, with blanks for dashes and in upper case, then the suffix, is the page's file name.
 
-    pages: path, content (HTML text). images: path. The result has profile_slug and profile_data (null without a page).
+    pages: path, content (HTML text), or a folder of .html files. images: path, or a folder; an image belongs to a name that its file name holds in any case. Of several pages of one name
+    the one with the smallest path counts, so each record stays one. The result has profile_slug and profile_data (null without a page).
     """
+    pages = read_pages(rows.sparkSession, f"{profile_dir}/*.html") if pages is None else pages
+    if images is None and images_dir:
+        images = rows.sparkSession.read.format("binaryFile").load(images_dir).select("path")
     slug = last_segment(F.col(url))
     named = rows.withColumn("profile_slug", slug).withColumn("profile_key_", F.upper(F.replace(slug, F.lit("-"), F.lit(" "))))
-    file_name = F.element_at(F.split("path", "/"), -1)
-    own = pages.select(
-        F.upper(strip(F.regexp_replace(file_name, r"\.html?$", ""))).alias("profile_key_"), file_name.alias("profile_file"), profile(F.col("content")).alias("page")
-    )
+    name = _file_name("path")
+    own = pages.where(name.endswith(suffix + ".html")).select(F.expr("*"), F.substring(name, F.lit(1), F.length(name) - len(suffix + ".html")).alias("profile_key_"))
+    own = own.groupBy("profile_key_").agg(F.min(_plain("path")).alias("profile_file"), profile(F.min_by("content", "path")).alias("page"))
     joined = named.join(own, "profile_key_", "left")
-    local = F.array().cast("array<string>")
-    if images is not None:
-        # a substring test has no key to join by: the image names go to every task as one literal, if they are not too many
-        names = [r[0] for r in images.select(F.element_at(F.split("path", "/"), -1)).distinct().orderBy(F.lit(1)).limit(100_001).collect()]
-        if len(names) > 100_000:
-            raise ValueError("more than 100000 images: split the folder")
-        key = F.col("profile_key_")
-        local = F.filter(F.from_json(F.lit(json.dumps(names)), "array<string>"), lambda n: F.contains(F.upper(n), key))
+    if images is None:
+        joined = joined.withColumn("local_images", F.array().cast("array<string>"))
+    else:
+        joined = joined.join(_images_of(own.select("profile_key_"), images), "profile_key_", "left")
+    local = F.coalesce("local_images", F.array().cast("array<string>"))
     data = F.struct("profile_file", "profile_slug", F.col("page.fields").alias("profile_fields"), F.col("page.images").alias("image_urls"), local.alias("local_images"))
-    return joined.withColumn("profile_data", F.when(F.col("page").isNotNull(), data)).drop("profile_key_", "page", "profile_file")
+    return joined.withColumn("profile_data", F.when(F.col("page").isNotNull(), data)).drop("profile_key_", "page", "profile_file", "local_images")
+
+
+def _plain(path: str) -> Column:
+    """A path without percent signs for blanks and the like."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), F.col(path))
+
+
+def _file_name(path: str) -> Column:
+    return F.element_at(F.split(_plain(path), "/"), -1)
+
+
+def _images_of(keys: DataFrame, images: DataFrame) -> DataFrame:
+    """profile_key_, local_images: paths of the images whose file names hold the key. Joined by the key's first letters, found at each place of a file name, so that no pair is looked at for nothing."""
+    first = 4
+    files = images.select(_plain("path").alias("path"), F.upper(_file_name("path")).alias("name"))
+    places = F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.length("name")), lambda i: F.transform(F.sequence(F.lit(1), F.lit(first)), lambda n: F.substring(F.col("name"), i, n)))))
+    seeded = files.where("name <> ''").select("path", "name", places.alias("seed")).distinct()
+    held = keys.where("profile_key_ <> ''").withColumn("seed", F.substring("profile_key_", 1, first))
+    return held.join(seeded, "seed").where(F.contains("name", "profile_key_")).groupBy("profile_key_").agg(F.array_sort(F.collect_set("path")).alias("local_images"))
 
 
 def clean_profile_names(fields: Column, names: list[str]) -> Column:
@@ -65,10 +92,37 @@ def _cleaned(fields: Column, name: Column) -> Column:
     return F.when(is_token_empty(value), "").otherwise(clean_text(value))
 
 
-def enrich(rows: DataFrame, rules: list[dict], level: str, **inputs) -> DataFrame:
-    """Applies the rules of a level (dataset, or record by default) in their order; an unknown handler is a ValueError."""
+#: The columns that a step reads, by its options, where records come as JSON text.
+READS: dict[str, Callable[[dict], list[str]]] = {
+    "fix_vessel_rows": lambda o: [o.get(k, d.default) for k, d in inspect.signature(fix_vessel_rows).parameters.items() if k != "rows"],
+    "attach_profiles": lambda o: [o.get("url", "detail_url")],
+}
+
+
+def _steps(rules: list[dict], level: str, inputs: dict):
     for rule in rules:
         if rule.get("level", "record") == level:
-            step: Callable[..., DataFrame] = find(f"enrich:{level}", rule["handler"])
-            rows = rows.transform(step, **{k: v for k, v in {**rule.get("options", {}), **inputs.get(rule["handler"], {})}.items()})
+            yield rule["handler"], find(f"enrich:{level}", rule["handler"]), {**rule.get("options", {}), **inputs.get(rule["handler"], {})}
+
+
+def enrich(rows: DataFrame, rules: list[dict], level: str, **inputs) -> DataFrame:
+    """Applies the rules of a level (dataset, or record by default) in their order; an unknown handler is a ValueError."""
+    for _, step, options in _steps(rules, level, inputs):
+        rows = rows.transform(step, **options)
     return rows
+
+
+def _without(fields: Column, names: list[str]) -> Column:
+    return F.map_filter(fields, lambda k, _: ~k.isin(names))
+
+
+def enrich_json(records: DataFrame, rules: list[dict], level: str, **inputs) -> DataFrame:
+    """The same for records as JSON text (record): what a step reads becomes columns, and its columns go back into the record; nulls are left out."""
+    for name, step, options in _steps(rules, level, inputs):
+        read = READS[name](options) if name in READS else []
+        made = records.select("record", *(F.get_json_object("record", f"$['{c}']").alias(c) for c in read)).transform(step, **options)
+        new = [c for c in made.columns if c != "record"]
+        own = _without(F.try_variant_get(F.parse_json("record"), "$", "map<string,variant>"), new)
+        added = F.try_variant_get(F.parse_json(F.to_json(F.struct(*(F.col(f"`{c}`") for c in new)))), "$", "map<string,variant>")
+        records = made.select(F.to_json(F.map_concat(own, added)).alias("record"))
+    return records

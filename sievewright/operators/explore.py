@@ -33,7 +33,7 @@ def _walk(value, path: str, out: dict) -> None:
 
 
 def schema_profile(records: DataFrame, column: str = "value") -> DataFrame:
-    """field, type, optional, occurrences of every path in JSON lines; blank and malformed lines are left out.
+    """field, type, optional, occurrences of every path in JSON lines; blank and malformed lines are left out (`jsonl.errors` lists these).
 
     Each task counts its own records first, so that the shuffle has a row for each path, type and batch. `optional` compares a path's count with the number of
     records: fields below lists can exceed it and then read as not optional.

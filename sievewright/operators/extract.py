@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import urllib.request
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -43,6 +44,19 @@ class Stub:
         return "```json\n" + json.dumps(schema if isinstance(schema, dict) else {}) + "\n```"
 
 
+class LocalServer:
+    """A client of a model server on this host that has a chat endpoint over HTTP: one prompt, one JSON answer, temperature 0."""
+
+    def __init__(self, model: str, url: str = "http://localhost:11434/api/chat", timeout: float = 300.0, opener: Callable = urllib.request.urlopen):
+        self.model, self.url, self.timeout, self.opener = model, url, timeout, opener
+
+    def generate(self, prompt: str, schema: dict | str) -> str:
+        asked = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "format": schema or "json", "options": {"temperature": 0}, "stream": False}
+        request = urllib.request.Request(self.url, json.dumps(asked).encode(), {"Content-Type": "application/json"})  # noqa: S310
+        with self.opener(request, timeout=self.timeout) as answer:
+            return json.loads(answer.read())["message"]["content"]
+
+
 def extract(text: Column, make_client: Callable[[], Client], schema: dict | None = None, template: str = PROMPT) -> Column:
     """The model's JSON for each text; a null text gives null, and an answer that is no JSON fails."""
 

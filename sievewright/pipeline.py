@@ -16,18 +16,23 @@ from sievewright.registry import find, register
 from sievewright.sources import html, jsonl, pdf, tabular, xml
 
 
-def read(spark: SparkSession, path: str, source: Source, extractor=None) -> DataFrame:
-    """record (JSON text) of a source's file by its type; another type, or suffix of a table, is a ValueError."""
+def read(spark: SparkSession, path: str, source: Source, extractor=None, **inputs) -> DataFrame:
+    """record (JSON text) of a source's file by its type, enriched; another type, or suffix of a table, is a ValueError.
+
+    inputs: further arguments of enrichment steps, by their names.
+    """
     if source.file_type == "xml":
-        return xml.read(spark, path, source.root_tag)
-    if source.file_type == "jsonl":
-        return jsonl.read(spark, path).select("record")
-    if source.file_type == "pdf":
+        records = xml.read(spark, path, source.root_tag)
+    elif source.file_type == "jsonl":
+        records = jsonl.read(spark, path).select("record")
+    elif source.file_type == "pdf":
         if extractor is None:
             raise ValueError("a PDF source needs an extractor")
-        return pdf.read(spark, path, extractor).select(F.to_json("record", {"ignoreNullFields": "false"}).alias("record"))
-    rows = enriched(table(spark, path, source), source)
-    return rows.select(jsonl.line("*").alias("record"))
+        records = pdf.read(spark, path, extractor).select(F.to_json("record", {"ignoreNullFields": "false"}).alias("record"))
+    else:
+        return enriched(table(spark, path, source), source, **inputs).select(jsonl.line("*").alias("record"))
+    rules = list(source.enrich)
+    return enrich.enrich_json(enrich.enrich_json(records, rules, "dataset", **inputs), rules, "record", **inputs)
 
 
 def table(spark: SparkSession, path: str, source: Source) -> DataFrame:
@@ -116,12 +121,12 @@ def standardise(records: DataFrame, source: Source, rules: Rules) -> DataFrame:
     return mapped.withColumn("final", final).select("record", "external_id", "mapped_type", "final")
 
 
-def run(spark: SparkSession, path: str, source: Source, rules: Rules, lookups: dict[str, DataFrame], out: str, extractor=None) -> dict[str, int]:
+def run(spark: SparkSession, path: str, source: Source, rules: Rules, lookups: dict[str, DataFrame], out: str, extractor=None, **inputs) -> dict[str, int]:
     """Writes manifest, payloads, staging rows and final records under a folder; returns the numbers of records read and staged."""
     manifest = staging.manifest(spark, path, source.authority, lookups["sources"], lookups["list_types"], source.url)
     manifest.write.mode("overwrite").parquet(f"{out}/watchlist_file")
     file = spark.read.parquet(f"{out}/watchlist_file").select("id", "source_id", "list_type_id").orderBy("id").first().asDict()
-    staging.payloads(read(spark, path, source, extractor), F.lit(file["id"])).write.mode("overwrite").parquet(f"{out}/payload")
+    staging.payloads(read(spark, path, source, extractor, **inputs), F.lit(file["id"])).write.mode("overwrite").parquet(f"{out}/payload")
     records = spark.read.parquet(f"{out}/payload").select(F.col("raw_json").alias("record"))
     done = standardise(records, source, rules).select("external_id", F.col("final").alias("record"))
     staging.staged(done, lookups["entity_types"], file).write.mode("overwrite").parquet(f"{out}/staging")

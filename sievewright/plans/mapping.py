@@ -98,8 +98,14 @@ class Context:
             tries.append(paths.get_all(self.item, expr))
             if (short := self._short(expr)) is not None:
                 tries.append(paths.get_all(self.item, short) if short else paths.as_list(self.item))
-        lists = F.array(*tries, paths.get_all(self.root, expr))
-        return F.coalesce(F.get(F.filter(lists, lambda a: F.size(a) > 0), F.lit(0)), F.array().cast("array<variant>"))
+        found = paths.get_all(self.root, expr)
+        for values in reversed(tries):  # the next one is looked up only where this one is empty
+            found = paths.let(values, _or_else(found))
+        return found
+
+
+def _or_else(other: Column) -> Callable[[Column], Column]:
+    return lambda a: F.when(F.size(a) > 0, a).otherwise(other)
 
 
 # Source types. Each gives a variant, or an array of variants where it is marked as one.

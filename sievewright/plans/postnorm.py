@@ -32,13 +32,14 @@ class Rule:
 
 @register("postnorm", "DATE_NORMALIZATION")
 def normalise_dates(record: dict, rule: Rule) -> None:
-    """Each item of the list becomes the dates of its date_full, else of its year; without any it stays only if it has a year."""
+    """Each object of the list becomes the dates of its date_full, else of its year; without any it stays only if it has a year. Items that are no objects stay."""
     items = record.get(rule.condition)
     if not isinstance(items, list):
         return
     out = []
     for item in items:
         if not isinstance(item, dict):
+            out.append(item)
             continue
         found = dates.parse(item.get("date_full") or item.get("year"))
         out += [dict(zip(("date_full", "year", "month", "day"), d, strict=True)) for d in found] or ([item] if item.get("year") else [])
@@ -65,12 +66,19 @@ def distinct(value):
         return {k: distinct(v) for k, v in value.items()}
     if not isinstance(value, list):
         return value
-    kept: dict[str, object] = {}
+    kept: dict = {}
     for item in map(distinct, value):
-        kept.setdefault(json.dumps(item, sort_keys=True), item)
+        kept.setdefault(_identity(item), item)
     return list(kept.values())
 
 
+def _identity(value):
+    """A key that equal values share: the order of keys does not count, and 1, 1.0 and true are equal."""
+    if isinstance(value, dict):
+        return frozenset((k, _identity(v)) for k, v in value.items())
+    return tuple(map(_identity, value)) if isinstance(value, list) else value
+
+
 @register("postnorm", "DEDUPLICATE_ALL_ARRAYS")
 def deduplicate(record: dict, rule: Rule) -> None:
     record.update(distinct(record))
@@ -114,17 +122,6 @@ def load(rows: list[dict]) -> list[Rule]:
 # Column forms for typed arrays
 
 
-def dates_of_items(items: Column) -> Column:
-    """DATE_NORMALIZATION of an array of {date_full, year, month, day}: single tokens stay in the JVM."""
-
-    def one(item):
-        text = F.coalesce(F.nullif(item["date_full"], F.lit("")), item["year"])
-        found = dates.date_token(text)
-        return F.when(found.isNotNull(), F.array(found)).when(F.coalesce(item["year"], F.lit("")) != "", F.array(item)).otherwise(F.array().cast(dates.SCHEMA))
-
-    return F.flatten(F.transform(items, one))
-
-
 def dependent_items(a: Column, key: str, b: Column, other: str, value: str) -> Column:
     """EMPTY_DEPENDENCY of two arrays of structs, zipped and padded: array of {a, b}."""
     zipped = F.arrays_zip(a.alias("a"), b.alias("b"))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievewright.functions.text import cell, header
+from sievewright.functions.text import cell, header, strip
 
 CELLS = "file string, page int, tbl int, line int, cells array<string>"
 
@@ -53,7 +53,7 @@ def read(spark: SparkSession, path: str, extractor: Callable[[bytes], Iterator[t
 
 
 def page_text(pages: DataFrame) -> DataFrame:
-    """file, text: the texts of a file's pages (file, page, text) in order, each after a marker, blank ones left out."""
-    held = pages.where(F.trim(F.coalesce("text", F.lit(""))) != "")
-    marked = held.select("file", F.struct("page", F.concat(F.lit("--- Page "), F.col("page"), F.lit(" ---\n"), F.trim("text")).alias("t")).alias("p"))
-    return marked.groupBy("file").agg(F.array_sort(F.collect_list("p")).alias("ps")).select("file", F.array_join(F.transform("ps", lambda p: p["t"]), "\n\n").alias("text"))
+    """file, text: the texts of a file's pages (file, page, text) in order, each after a line break and a marker's line, blank ones left out."""
+    body = strip(F.coalesce("text", F.lit("")))
+    marked = pages.where(body != "").select("file", F.struct("page", F.concat(F.lit("\n--- PAGE "), F.col("page"), F.lit(" ---\n"), body).alias("t")).alias("p"))
+    return marked.groupBy("file").agg(F.array_sort(F.collect_list("p")).alias("ps")).select("file", F.array_join(F.transform("ps", lambda p: p["t"]), "\n").alias("text"))

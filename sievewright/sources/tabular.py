@@ -89,17 +89,32 @@ def sheet_rows(content: bytes, sheet: int | str = 0) -> list[list[str | None]]:
     return rows
 
 
+def _names(content: bytes, sheet: int | str) -> list[str] | None:
+    """A sheet's header; null where there is no such sheet."""
+    try:
+        rows = sheet_rows(content, sheet)
+    except (ValueError, IndexError):
+        return None
+    return header_names(rows[0]) if rows else []
+
+
 def read_xlsx(spark: SparkSession, path: str, sheet: int | str = 0) -> DataFrame:
-    """Columns by the first row's names of the first file; other files may lack columns or add none.
+    """Columns by the first rows' names of all files, those of the first path first; a file that lacks one has it empty.
 
-    Only .xlsx is read; workbooks are small, each is held by one task.
+    Only .xlsx is read; workbooks are small, each is held by one task, and the driver gets their names.
     """
     files = spark.read.format("binaryFile").load(path)
-    first = files.orderBy("path").select("content").limit(1).collect()
-    if not first:
+
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "names": [_names(bytes(c), sheet) for c in batch["content"]]})
+
+    found = sorted(files.select("path", "content").mapInPandas(heads, "path string, names array<string>").collect())
+    if not found:
         raise ValueError(f"no file: {path}")
-    rows = sheet_rows(bytes(first[0]["content"]), sheet)
-    names = header_names(rows[0]) if rows else []
+    if lacking := [path for path, own in found if own is None]:
+        raise ValueError(f"no sheet {sheet!r}: {lacking[0]}")
+    names = list(dict.fromkeys(n for _, own in found for n in own))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

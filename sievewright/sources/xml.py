@@ -124,8 +124,8 @@ def _rows(source, row_tag: str) -> Iterator[dict]:
                 stack[-1].remove(element)
 
 
-def read(spark: SparkSession, path: str, row_tag: str = "Designation") -> DataFrame:
-    """record (JSON text) of every row element; files are read in parallel, each by one task."""
+def records_of(documents: DataFrame, row_tag: str = "Designation") -> DataFrame:
+    """record (JSON text) of every row element of documents (content)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -138,7 +138,12 @@ def read(spark: SparkSession, path: str, row_tag: str = "Designation") -> DataFr
                         part = []
                 yield pd.DataFrame({"record": pd.Series(part, dtype="str")})
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "record string")
+    return documents.select("content").mapInPandas(run, "record string")
+
+
+def read(spark: SparkSession, path: str, row_tag: str = "Designation") -> DataFrame:
+    """record (JSON text) of every row element; files are read in parallel, each by one task."""
+    return records_of(spark.read.format("binaryFile").load(path), row_tag)
 
 
 def read_typed(spark: SparkSession, path: str, schema, row_tag: str = "Designation") -> DataFrame:

@@ -103,26 +103,39 @@ def test_listings(spark, tmp_path):
     (tmp_path / "g.html").write_text(LISTING)
     rows = html.read(spark, str(tmp_path / "g.html"), "ATC-DESIGNATED-TERRORIST-GROUPS").collect()
     assert [tuple(r) for r in rows] == [
-        ("Organization", "Invented Group", "Cat", "Resolution No. 12 and Resolution No. 13", "3 May 2020"), ("Organization", "Second & Co", "", "", ""),
+        ("Organization", "Invented Group", "Cat", "Resolution No. 12 and Resolution No. 13", "3 May 2020"), ("Organization", "Second & Co no", "", "", ""),
     ]
     with pytest.raises(ValueError, match="unknown html"):
         html.read(spark, str(tmp_path), "nobody")
 
 
 def test_profiles(spark, tmp_path):
-    (tmp_path / "ANN LEE.html").write_text('<table><tr><td>Name:</td><td>Ann <b>Lee</b></td></tr><tr><td>Alias/es</td><td>N/A</td></tr><tr><td>x</td></tr></table><img src="a.jpg"><img src="a.jpg">')
+    page = '<img src="logo.png"><table><tr><td>menu</td><td>no</td></tr></table><article><table><tr><td>Name:</td><td>Ann <b>Lee</b></td><td>third</td></tr>'
+    page += '<tr><td>Alias/es</td><td>N/A</td></tr><tr><td>x</td></tr></table><img src="a.jpg"><img src="a.jpg"></article>'
+    (tmp_path / "ANN LEE _ Anti-Terrorism Council.html").write_text(page)
+    (tmp_path / "ANN LEE.html").write_text("<article><table><tr><td>Name:</td><td>another page</td></tr></table></article>")
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "ANN LEE _ Anti-Terrorism Council.html").write_text("<article></article>")
     (tmp_path / "img").mkdir()
     for name in ("Ann Lee 1.jpg", "other.png"):
         (tmp_path / "img" / name).write_bytes(b"x")
     people = spark.createDataFrame([("Ann", "https://h/p/ann-lee/"), ("Bob", "https://h/p/bob"), ("None", "")], "name string, detail_url string")
-    pages = html.read_pages(spark, f"{tmp_path}/*.html").withColumn("path", F.replace("path", F.lit("%20"), F.lit(" ")))
-    images = spark.read.format("binaryFile").load(f"{tmp_path}/img").withColumn("path", F.replace("path", F.lit("%20"), F.lit(" ")))
+    # two pages of one name, of which one counts
+    pages = html.read_pages(spark, f"{tmp_path}/*.html").union(html.read_pages(spark, f"{tmp_path}/z/*.html"))
+    images = spark.read.format("binaryFile").load(f"{tmp_path}/img").select("path")
     rows = {r.name: r for r in enrich.attach_profiles(people, pages, images).collect()}
     data = rows["Ann"].profile_data
     assert rows["Bob"].profile_data is None and rows["None"].profile_data is None and len(rows) == 3
-    assert (data.profile_file, data.profile_slug, data.image_urls, data.local_images) == ("ANN LEE.html", "ann-lee", ["a.jpg"], ["Ann Lee 1.jpg"])
+    assert data.profile_file == f"file:{tmp_path}/ANN LEE _ Anti-Terrorism Council.html" and data.profile_fields == {"Name:": "Ann Lee", "Alias/es": "N/A", "x": ""}
+    assert (data.profile_slug, data.image_urls, data.local_images) == ("ann-lee", ["a.jpg", "a.jpg"], [f"file:{tmp_path}/img/Ann Lee 1.jpg"])
+    assert enrich.attach_profiles(people, profile_dir=str(tmp_path), images_dir=f"{tmp_path}/img").where("name = 'Ann'").first().profile_data == data
+    assert [r.profile_data.profile_file for r in enrich.attach_profiles(people, pages, suffix="").collect() if r.profile_data] == [f"file:{tmp_path}/ANN LEE.html"]
+    json_rows = people.select(F.to_json(F.struct("*")).alias("record"))
+    rules = [{"handler": "attach_profiles", "options": {"profile_dir": str(tmp_path), "images_dir": f"{tmp_path}/img"}}]
+    made = {json.loads(r.record)["name"]: json.loads(r.record) for r in enrich.enrich_json(json_rows, rules, "record").collect()}
+    assert made["Ann"]["profile_data"]["local_images"] == data.local_images and "profile_data" not in made["Bob"] and len(made) == 3
     frame = enrich.attach_profiles(people, pages).select("name", enrich.clean_profile_names(F.col("profile_data.profile_fields"), ["Alias/es", "Variant/s"]).alias("f"))
-    assert {r.name: r.f for r in frame.collect()} == {"Ann": {"Name": "Ann Lee", "Alias/es": "", "Variant/s": ""}, "Bob": None, "None": None}
+    assert {r.name: r.f for r in frame.collect()} == {"Ann": {"Name:": "Ann Lee", "x": "", "Alias/es": "", "Variant/s": ""}, "Bob": None, "None": None}
 
 
 def test_enrichment_rules(spark):
@@ -154,7 +167,7 @@ def test_stitched_tables(spark):
 
 def test_page_texts(spark):
     pages = spark.createDataFrame([("f", 2, " two "), ("f", 1, "one"), ("f", 3, " "), ("f", 4, None)], "file string, page int, text string")
-    assert pdf.page_text(pages).first().text == "--- Page 1 ---\none\n\n--- Page 2 ---\ntwo"
+    assert pdf.page_text(pages).first().text == "\n--- PAGE 1 ---\none\n\n--- PAGE 2 ---\ntwo"
 
 
 # JSON lines, exploration
@@ -184,6 +197,35 @@ def test_schema_profile(spark):
     }
 
 
+def test_malformed_lines_have_numbers(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("".join("{bad\n" if i in (3, 4000) else "\n" if i == 5 else f'{{"a": {i}}}\n' for i in range(1, 5001)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        found = analyst.profile_errors(spark, str(tmp_path / "a.jsonl")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.line for r in found) == [3, 4000] and {r.record for r in found} == {"{bad"} and all("property name" in r.error for r in found)
+
+
+def test_values_below_lists_of_any_depth(spark):
+    lines = ['{"a": [[[[[[{"k": 1}], []]]], {"k": [[2]]}]]}', '{"a": [[[[[{"k": {"x": 1}}, [[{"k": "deep"}]]]]]]]}']
+    frame = spark.createDataFrame([(x,) for x in lines], "j string").select(F.parse_json("j").alias("v"))
+    assert [r.value for r in explore.distinct_values(frame, "a.k").collect()] == ["1", "deep"]
+
+
+def test_a_local_model_server():
+    asked = []
+
+    class Answer(io.BytesIO):
+        def __init__(self, request, timeout):
+            asked.append((request.full_url, json.loads(request.data), timeout))
+            super().__init__(b'{"message": {"content": "{}"}}')
+
+    client = extract.LocalServer("small", "http://localhost:1/api/chat", 5, lambda request, timeout: Answer(request, timeout))
+    assert client.generate("p", {"name": ""}) == "{}" and client.generate("p", "") == "{}"
+    assert asked[0][1]["format"] == {"name": ""} and asked[1][1]["format"] == "json" and asked[0][1]["options"] == {"temperature": 0}
+
+
 def test_distinct_values(spark, tmp_path):
     lines = ['{"a": [{"b": " x "}, [{"b": true}], {"b": [1]}, {"b": null}]}', '{"a": {"b": 1.5}}', '{"a": {"b": ""}}', '{"c": 1}', '{"a": {"b": "x"}}']
     frame = spark.createDataFrame([(x,) for x in lines], "j string").select(F.parse_json("j").alias("v"))
