@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from sievewright.functions import dates, text
 from sievewright.operators import enrich, explore, extract, staging
 from sievewright.plans import mapping, postnorm, prenorm
-from sievewright.sources import html, pdf
+from sievewright.sources import html, jsonl, pdf, scan, tabular, xml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,7 +21,8 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(function: Callable[[Callable[[str], DataFrame]], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: function(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+        # wide: rows that are heavy each go to all cores
+        QUERIES[name] = lambda spark, sf_dir: function(lambda table, wide=False: (scan.spread if wide else lambda rows: rows)(spark.read.parquet(f"{sf_dir}/{table}.parquet")))
         if sql:
             ORACLE_SQL[name] = sql
         return function
@@ -31,7 +35,7 @@ def query(name: str, sql: str | None = None):
 
 @query("value_explorer", "SELECT DISTINCT trim(props->>'k') AS value FROM events WHERE props->>'k' IS NOT NULL")
 def _(t):
-    return explore.distinct_values(t("events").select(F.try_parse_json("props").alias("v")), "k")
+    return explore.distinct_values(t("events", True).select(F.try_parse_json("props").alias("v")), "k")
 
 
 @query(
@@ -47,7 +51,14 @@ def _(t):
     extra = F.when(F.col("event_id") % 3 == 0, F.lit(',"extra":1')).when(F.col("event_id") % 3 == 1, F.lit(',"extra":"one"')).otherwise(F.lit(""))
     parts = [F.lit('{"event_id":'), F.col("event_id"), F.lit(',"event_type":"'), F.col("event_type"), F.lit('","props":'), F.col("props")]
     line = F.concat(*parts, extra, F.lit(',"list":[{"user":'), F.col("user_id"), F.lit(',"deep":[1]}]}'))
-    return explore.schema_profile(t("events").select(line.alias("value")))
+    return explore.schema_profile(t("events", True).select(line.alias("value")))
+
+
+@query("deep_values", "SELECT DISTINCT trim(value) AS value FROM (SELECT o_orderstatus AS value FROM orders UNION ALL SELECT o_orderpriority FROM orders) WHERE trim(value) <> ''")
+def _(t):
+    # one value below six lists, one below a single list, and an empty one
+    line = F.concat(F.lit('{"a":[[[[[[{"k":" '), "o_orderstatus", F.lit('"}]],[]]]],{"k":"'), "o_orderpriority", F.lit('"},{"k":" "},{"k":[1]}]}'))
+    return explore.distinct_values(t("orders", True).select(F.try_parse_json(line).alias("v")), "a.k", blanks=False)
 
 
 @query("preview50", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey, o_totalprice LIMIT 50")
@@ -65,7 +76,7 @@ def _(t):
 
 @query("remove_list_markers", r"SELECT doc_id, md5(regexp_replace(regexp_replace('(a) ' || text || ' (b)  c', '\([A-Za-z]\)\s*', '', 'g'), '^\s+|\s+$', '', 'g')) AS digest FROM documents")
 def _(t):
-    return t("documents").select("doc_id", F.md5(text.remove_list_markers(F.concat(F.lit("(a) "), "text", F.lit(" (b)  c")))).alias("digest"))
+    return t("documents", True).select("doc_id", F.md5(text.remove_list_markers(F.concat(F.lit("(a) "), "text", F.lit(" (b)  c")))).alias("digest"))
 
 
 @query("enum_map", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' ELSE o_orderstatus END AS status FROM orders")
@@ -80,7 +91,7 @@ def _(t):
 )
 def _(t):
     resolution = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("under RESOLUTION no. "), F.col("c_nationkey"), F.lit(", Resolution No 7"))).otherwise("none")
-    return t("customer").select("c_custkey", text.resolution_id("ATC", resolution, F.concat(F.lit(" "), "c_name")).alias("id"))
+    return t("customer", True).select("c_custkey", text.resolution_id("ATC", resolution, F.concat(F.lit(" "), "c_name")).alias("id"))
 
 
 @query(
@@ -122,12 +133,12 @@ def _(t):
     shapes = [F.concat(d, F.lit(", Some Town, Province")), F.lit("N/A, Town"), F.lit("Town, Province"), F.lit(" unknown "), d]
     x = F.coalesce(*(F.when(F.col("o_orderkey") % 5 == k, s) for k, s in enumerate(shapes)))
     born, place = text.date_and_place(x)
-    return t("orders").select("o_orderkey", born.alias("born"), place.alias("place"))
+    return t("orders", True).select("o_orderkey", born.alias("born"), place.alias("place"))
 
 
 @query("clean_text", r"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '^ | $', '', 'g')) AS digest FROM documents")
 def _(t):
-    return t("documents").select("doc_id", F.md5(text.clean_text(F.col("text"))).alias("digest"))
+    return t("documents", True).select("doc_id", F.md5(text.clean_text(F.col("text"))).alias("digest"))
 
 
 # Dates
@@ -142,7 +153,7 @@ _RENDERED = ["yyyy-MM-dd", "d MMMM yyyy", "MMMM d, yyyy", "dd/MM/yyyy", "yyyy"]
 )
 def _(t):
     x = F.coalesce(*(F.when(F.col("o_orderkey") % 5 == k, F.date_format("o_orderdate", f)) for k, f in enumerate(_RENDERED)))
-    return t("orders").select("o_orderkey", dates.date_token(x).alias("d")).select("o_orderkey", "d.year", "d.month", "d.day")
+    return t("orders", True).select("o_orderkey", dates.date_token(x).alias("d")).select("o_orderkey", "d.year", "d.month", "d.day")
 
 
 @query(
@@ -153,7 +164,7 @@ def _(t):
     d = F.col("o_orderdate")
     x = F.concat(F.date_format(d, "d MMMM yyyy"), F.lit(" or "), F.date_format(d, "yyyy-MM-dd 10:11:12"), F.lit(", Approximately "), F.date_format(d, "yyyy; MM/yyyy"), F.lit("; 12 foo 1990"))
     each = F.transform("d", lambda i: F.concat_ws("-", i["year"], i["month"], i["day"]))
-    return t("orders").select("o_orderkey", dates.all_dates(x).alias("d")).select("o_orderkey", F.array_join(each, ";").alias("found"))
+    return t("orders", True).select("o_orderkey", dates.all_dates(x).alias("d")).select("o_orderkey", F.array_join(each, ";").alias("found"))
 
 
 # Pre- and post-normalisation
@@ -170,11 +181,12 @@ def _(t):
         prenorm.Rule("s", "B", "names[].n", "before_parenthesis"),
         prenorm.Rule("s", "*", "names[].n", "remove_list_markers"),
         prenorm.Rule("other", "*", "names[].n", "enum", "x=y"),
+        prenorm.Rule("s", "*", "names[].n", "no_such_kind"),
     ]
     plan = prenorm.compile_rules(rules, {"s": "segment"}, "s")
     names = F.array(F.struct(F.concat("c_name", F.lit(" (k):")).alias("n")))
     record = F.to_json(F.struct(F.col("c_mktsegment").alias("segment"), names.alias("names")))
-    made = t("customer").select("c_custkey", prenorm.pre_normalize(record, plan).alias("r"))
+    made = t("customer", True).select("c_custkey", prenorm.pre_normalize(record, plan).alias("r"))
     return made.select("c_custkey", F.get_json_object("r", "$.segment").alias("segment"), F.get_json_object("r", "$.names[0].n").alias("name"))
 
 
@@ -193,7 +205,7 @@ def _(t):
         postnorm.Rule(2, "EMPTY_DEPENDENCY", "a[].t", "b[].u", "none"),
         postnorm.Rule(0, "UNKNOWN"),
     ]
-    return t("orders").select("o_orderkey", postnorm.post_normalize(record, rules).alias("record"))
+    return t("orders", True).select("o_orderkey", postnorm.post_normalize(record, rules).alias("record"))
 
 
 @query(
@@ -203,7 +215,7 @@ def _(t):
 def _(t):
     a = F.array(F.struct(F.col("o_orderstatus").alias("t")), F.struct(F.lit("").alias("t")))
     b = F.array(*(F.struct(F.lit(x).alias("u")) for x in "123"))
-    return t("orders").select("o_orderkey", F.to_json(postnorm.dependent_items(a, "t", b, "u", "none")).alias("pairs"))
+    return t("orders", True).select("o_orderkey", F.to_json(postnorm.dependent_items(a, "t", b, "u", "none")).alias("pairs"))
 
 
 _LINE = "lpad(CAST(l_linenumber AS STRING), 3, '0') || lpad(CAST(l_partkey AS STRING), 9, '0') || lpad(CAST(l_suppkey AS STRING), 9, '0') || l_returnflag"
@@ -241,7 +253,7 @@ def _customers(t) -> DataFrame:
         F.concat_ws("|", F.col("c_mktsegment"), F.lit(" n/a"), F.lit(" .b. "), F.lit("")).alias("parts"),
         tags.alias("tags"),
     )
-    return t("customer").select("c_custkey", F.parse_json(F.to_json(record)).alias("v"))
+    return t("customer", True).select("c_custkey", F.parse_json(F.to_json(record)).alias("v"))
 
 
 def _rule(target: str, kind: str | None, value: str | None, group: str | None = None, target_type: str = "") -> mapping.Rule:
@@ -324,6 +336,14 @@ def _(t):
     return _mapped(_customers(t), _rule("x[].t", "expand", 'Name | "Missing" | More', "x"), _rule("x[].v", "parallel_path", "name | missing", "x"), _rule("x[].w", "path", "missing", "x"))
 
 
+@query("map_raw", """SELECT c_custkey, '{"all":{"Type":"entity","key":' || c_custkey || '},"rest":null,"skipped":""}' AS mapped FROM customer""")
+def _(t):
+    records = t("customer", True).select("c_custkey", F.parse_json(F.to_json(F.struct(F.lit("entity").alias("Type"), F.col("c_custkey").alias("key")))).alias("v"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return _mapped(records, _rule("all", "raw", None, target_type="raw"), _rule("rest", None, None, target_type="json"), _rule("skipped", "no_such_kind", "key"))
+
+
 @query(
     "group_suppression",
     """SELECT c_custkey, CAST(to_json({'nest': {'deep': {'d': ''}, 'list': CAST([] AS VARCHAR[])}, 'only': CAST([] AS VARCHAR[]), 'made': [{'t': 'a'}]}) AS VARCHAR) AS mapped FROM customer""",
@@ -362,9 +382,62 @@ def _(t):
     return t("pages").select("page_id", text.clean_text(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
 
 
+@query(
+    "html_groups",
+    "SELECT 'Organization' AS entity_type, s_name || ' and ' || s_suppkey AS name, '' AS category, CAST(s_nationkey AS VARCHAR) AS atc_resolution_no, '1 May 2020' AS date_issued FROM supplier",
+)
+def _(t):
+    page = F.concat(
+        F.lit('<table id="tablepress-31"><tbody><tr><td class="column-1">'), "s_name", F.lit('</td><td class="a column-11"> and\n'), "s_suppkey", F.lit('</td><td class="column-3">'), "s_nationkey",
+        F.lit('</td><td class="column-4">1 May\t2020</td></tr><tr><td class="column-1"> </td></tr></tbody></table>'),
+    )
+    return html.groups(t("supplier").select(page.alias("content")))
+
+
+@query(
+    "xml_records",
+    """SELECT n_nationkey, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region, '["' || n_name || '","x"]' AS alias, 'leaf' AS note FROM nation""",
+)
+def _(t):
+    # each document holds a sound row, one that is broken and lost, and another sound one
+    row = F.concat(F.lit('<a:R key="'), "n_nationkey", F.lit('"><name> '), "n_name", F.lit(" </name><alias>"), "n_name", F.lit("</alias><alias>x</alias><region/><in><r>"), "n_regionkey", F.lit("</r></in><note>leaf</note></a:R>"))
+    page = F.concat(F.lit('<?xml version="1.0"?><l xmlns:a="urn:a"><R key="0"><name>x & y</name></R>'), row, F.lit("</l>")).cast("binary")
+    made = xml.records_of(t("nation").select(page.alias("content")), "R")
+    field = lambda name: F.get_json_object("record", f"$.{name}")
+    return made.select(field("key").cast("int").alias("n_nationkey"), field("name").alias("name"), field("in.r").alias("region"), field("alias").alias("alias"), field("note").alias("note"))
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder where the session's executors share one, for queries that read what they wrote."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not where and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(where or tempfile.mkdtemp(prefix='sievewright-')).rstrip('/')}/sievewright-lists-{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "csv_records",
+    """SELECT CAST(p_partkey AS VARCHAR) AS key, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END AS name, '"' || p_brand || '", x' AS brand, '' AS "Unnamed: 3" FROM part""",
+)
+def _(t):
+    parts = t("part").select(F.col("p_partkey").alias("key"), F.when(F.col("p_partkey") % 3 == 0, "N/A").otherwise(F.col("p_name")).alias("name"), F.concat(F.lit('"'), "p_brand", F.lit('", x')).alias("brand"), F.lit("null").alias(" "))
+    where = _folder(parts.sparkSession, "csv")
+    parts.withColumnRenamed(" ", "").write.option("header", "true").option("escape", '"').csv(where)
+    return tabular.read_csv(parts.sparkSession, where)
+
+
+@query("jsonl_round_trip", """SELECT c_custkey, c_name AS name, '{"c_custkey":' || c_custkey || ',"name":"' || c_name || '","none":null}' AS record FROM customer""")
+def _(t):
+    records = t("customer").select(jsonl.line(F.col("c_custkey"), F.col("c_name").alias("name"), F.lit(None).cast("string").alias("none")).alias("record"))
+    where = _folder(records.sparkSession, "jsonl")
+    jsonl.write(records, where)
+    back = jsonl.read(records.sparkSession, where)
+    return back.select(F.try_variant_get("v", "$.c_custkey", "long").alias("c_custkey"), F.try_variant_get("v", "$.name", "string").alias("name"), "record")
+
+
 @query("pdf_stitch", "SELECT c_nationkey AS nation, c_custkey, c_name AS name, c_mktsegment AS segment FROM customer")
 def _(t):
-    customers = t("customer").select(
+    customers = t("customer", True).select(
         F.concat(F.lit("n"), "c_nationkey").alias("file"), (F.col("c_custkey") % 3 + 1).cast("int").alias("page"), F.lit(1).alias("tbl"), (F.col("c_custkey") + 10).cast("int").alias("line"),
         F.array(F.col("c_custkey").cast("string"), F.concat(F.lit(" "), "c_name"), F.lit("lost"), "c_mktsegment").alias("cells"),
     )
@@ -392,9 +465,26 @@ def _(t):
     return enrich.fix_vessel_rows(rows).withColumn("IMO number", F.col("IMO number").cast("long"))
 
 
-@query("profile_join", "SELECT doc_id, coalesce(toxic, -1) AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
+@query(
+    "profile_join",
+    """SELECT s_suppkey, 'supplier-' || s_suppkey AS slug, CASE WHEN s_suppkey % 4 <> 0 THEN 'p/SUPPLIER ' || s_suppkey || ' _ Anti-Terrorism Council.html' END AS page,
+    CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS name, CASE WHEN s_suppkey % 4 <> 0 THEN '/i.png' END AS image, CASE WHEN s_suppkey % 4 = 0 THEN -1 WHEN s_suppkey % 2 = 1 THEN 1 ELSE 0 END
+    AS own_images FROM supplier""",
+)
 def _(t):
-    return t("documents").select("doc_id").join(t("labels").select("doc_id", "toxic"), "doc_id", "left").select("doc_id", F.coalesce("toxic", F.lit(-1)).alias("toxic"))
+    suppliers = t("supplier").select("s_suppkey", "s_name")
+    rows = suppliers.select("s_suppkey", F.concat(F.lit("https://h/list/supplier-"), "s_suppkey", F.lit("/")).alias("detail_url"))
+    head = F.concat(F.lit('<img src="/logo.png"><article><table><tr><td>Name:</td><td>'), "s_name", F.lit('</td></tr></table><img src="/i.png"></article>'))
+    path = lambda folder: F.concat(F.lit(folder), F.lit("/SUPPLIER "), "s_suppkey", F.lit(" _ Anti-Terrorism Council.html"))
+    # every page stands in two folders, of which the first counts
+    pages = suppliers.where("s_suppkey % 4 <> 0").select(path("p").alias("path"), head.alias("content")).union(suppliers.select(path("q"), F.lit("")).where("s_suppkey % 4 <> 0"))
+    images = suppliers.where("s_suppkey % 2 = 1").select(F.concat(F.lit("i/my supplier "), F.col("s_suppkey"), F.lit(". jpg")).alias("path"))
+    made = enrich.attach_profiles(rows, pages, images)
+    exact = F.filter(F.col("profile_data.local_images"), lambda p: p.endswith(F.concat(F.lit(" "), F.col("s_suppkey"), F.lit(". jpg"))))
+    return made.select(
+        "s_suppkey", F.col("profile_slug").alias("slug"), F.col("profile_data.profile_file").alias("page"), F.col("profile_data.profile_fields")["Name:"].alias("name"),
+        F.get("profile_data.image_urls", F.lit(0)).alias("image"), F.coalesce(F.size(exact), F.lit(-1)).alias("own_images"),
+    )
 
 
 @query(
@@ -429,7 +519,7 @@ def _(t):
 
 @query("llm_stub", """SELECT doc_id, '{"name": "", "sources": []}' AS answer FROM documents""")
 def _(t):
-    return t("documents").select("doc_id", extract.extract(F.col("text"), extract.Stub, {"name": "", "sources": []}).alias("answer"))
+    return t("documents", True).select("doc_id", extract.extract(F.col("text"), extract.Stub, {"name": "", "sources": []}).alias("answer"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
