@@ -35,7 +35,9 @@ from sievewright.llm.common import Workspace
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(r"[^\W_]+")
-_PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(128)) + b" " * 128
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+#: Seeds of a block that share their first bits are told apart only after this many bits.
+_SIEVE = 22
 #: So many word hashes are kept for the next texts.
 _KNOWN = 300_000
 #: Pairs of places that are looked at in one step.
@@ -43,26 +45,32 @@ _PAIRS = 1 << 20
 RESULTS = ("coverage", "item_id", "tiles", "items")
 
 
-def words(text) -> list:
-    """Runs of letters and digits, lower-cased."""
-    if not isinstance(text, str):
-        return []
-    return text.encode().translate(_PLAIN).decode().split() if text.isascii() else _WORD.findall(text.lower())
-
-
 class Numbers:
-    """64-bit hashes of a text's words; known ones are kept."""
+    """64-bit hashes of a text's words, runs of letters and digits, lower-cased; known ones are kept.
+
+    Words are first parted at ASCII characters alone. A text all of whose parts are runs is done; another one, with typographic marks, say, is parted anew.
+    """
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int | None] = {}
 
     def __call__(self, text) -> np.ndarray:
-        own, known = words(text), self.known
+        if not isinstance(text, str):
+            return np.empty(0, np.uint64)
+        low = text if text.isascii() else text.lower()
+        if (out := self._of(low.encode().translate(_PLAIN).split())) is None:
+            out = self._of([w.encode() for w in _WORD.findall(low)])
+        return out
+
+    def _of(self, own: list[bytes]) -> np.ndarray | None:
+        """None if some part is no run."""
+        known = self.known
         if len(known) > _KNOWN:
             known.clear()
         for w in set(own).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, own), np.uint64, len(own))
+            known[w] = xxhash.xxh64_intdigest(w) if w.isascii() or _WORD.fullmatch(w.decode()) else None
+        found = list(map(known.__getitem__, own))
+        return None if None in found else np.array(found, np.uint64)
 
 
 def running(ids: np.ndarray, least: int) -> np.ndarray:
@@ -209,16 +217,18 @@ class Block:
             flat, owners = np.concatenate(made), np.repeat(chosen, [len(m) for m in made])
             starts = np.concatenate([np.arange(len(m)) for m in made])
             order = np.argsort(flat, kind="stable")
-            self.seeds[width] = flat[order], owners[order], starts[order]
+            sieve = np.zeros(1 << _SIEVE, bool)
+            sieve[flat >> np.uint64(64 - _SIEVE)] = True
+            self.seeds[width] = sieve, flat[order], owners[order], starts[order]
 
     def covered(self, ids: np.ndarray) -> list[tuple[float, list[int], int]]:
         """(coverage, item ids, tiles) of every distinct item whose coverage by the document's words reaches the threshold."""
         out = []
-        for width, (hashes, owners, starts) in self.seeds.items():
+        for width, (sieve, hashes, owners, starts) in self.seeds.items():
             of_doc = running(ids, width)
-            if not len(of_doc):
+            kinds = np.unique(of_doc[sieve[of_doc >> np.uint64(64 - _SIEVE)]])
+            if not len(kinds):
                 continue
-            kinds = np.unique(of_doc)
             low = np.searchsorted(hashes, kinds)
             kinds, low = kinds[low < len(hashes)], low[low < len(hashes)]
             hit = hashes[low] == kinds
