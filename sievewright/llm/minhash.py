@@ -6,11 +6,11 @@ threshold: a pair just at it misses every band with a probability of at most `mi
 
 From buckets to links without all pairs of a bucket:
 1. Equal shingle sets become one node first, so exact copies cost one row each.
-2. In every bucket each node is paired with one pivot, the bucket's first node in an order that all buckets share, so that the pairs of a group's buckets coincide. Pairs within the bounds
+2. In every bucket each node is paired with one pivot, another one in each bucket, so that a group of which not all pairs are linked still holds together. Pairs within the bounds
    below are confirmed on the full sets; confirmed links make components. A pivot of many pairs is sent to as many parts as its largest bucket asks for.
-3. Buckets whose nodes then lie in different components remain. Their nodes are joined by prefixes: of two linked sets, each with its shingles ordered by how many of these nodes hold them, the rarest
-   first, the first n - ceil(t n) + 1 have one in common. So text that very many of them share makes no pairs. Pairs of different components within the bounds are confirmed alike; pairs inside a
-   component need no test: one more link there changes nothing.
+3. Buckets whose nodes then lie in different components remain. Their nodes outside the bucket's largest component are
+   paired with all nodes of other components there, filtered and confirmed alike. Pairs inside a component need no test:
+   one more link there changes nothing.
 So every pair of a bucket is confirmed, refused by a bound, or already connected. The bounds are exact, they refuse no linked
 pair: sizes must be within the threshold of each other, and the odd sketches of two sets (bit h mod m is flipped by each
 shingle h) differ in at most as many bits as the sets differ in shingles, which the threshold limits.
@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import Workspace, among, plain_words
@@ -197,18 +197,6 @@ def _tested(work: Workspace, pairs: DataFrame, sets: DataFrame, plan: Plan, part
     return work.table(linked, label)
 
 
-def _prefixes(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """nid, comp, n, s: of each node (nid, comp, n, shingles) the first n - ceil(t n) + 1 shingles, the rarest among all nodes first, without those that no other node holds."""
-    each = nodes.select("nid", "comp", "n", F.explode("shingles").alias("s"))
-    held = each.groupBy("s").agg(F.count("*").alias("c")).where("c > 1")
-    shared = each.join(held, "s")
-    of_node = Window.partitionBy("nid")
-    least = F.ceil(F.col("n") * plan.numerator / plan.denominator)
-    # those that no other node holds come first
-    alone = F.col("n") - F.count("*").over(of_node)
-    return shared.withColumn("left", F.col("n") - least + 1 - alone).withColumn("nth", F.row_number().over(of_node.orderBy("c", "s"))).where("nth <= left").select("nid", "comp", "n", "s")
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs (doc_id, text).
 
@@ -225,7 +213,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -
     )
     nodes = work.table(nodes, "nodes")
     buckets = nodes.select(F.explode("bands").alias("bucket"), "nid")
-    shared = work.table(buckets.groupBy("bucket").agg(F.min("nid").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "shared")
+    # XOR with the bucket's own number orders nodes otherwise in each bucket: its smallest is that bucket's pivot
+    least = F.min(F.col("nid").bitwiseXOR(F.col("bucket")))
+    shared = buckets.groupBy("bucket").agg(least.bitwiseXOR(F.col("bucket")).alias("pivot"), F.count("*").alias("size")).where("size > 1")
+    shared = work.table(shared, "shared")
     members = work.table(among(buckets, "bucket", shared).join(shared, "bucket"), "members")
     needed = nodes.join(members.select("nid").distinct(), "nid").select(F.col("own.tkey").alias("own_key"), F.col("own.doc_id").alias("own_id"), "nid")
     needed = work.table(needed, "needed")
@@ -242,14 +233,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, plan: Plan = Plan()) -
     found = work.table(components(work, links), "star-components")
 
     placed = members.select("bucket", "nid").join(found.withColumnRenamed("node", "nid"), "nid", "left").select("bucket", "nid", F.coalesce("comp", "nid").alias("comp"))
-    mixed = placed.groupBy("bucket").agg(F.min("comp").alias("one"), F.max("comp").alias("other")).where("one <> other").select("bucket")
-    open_ = work.table(placed.join(mixed, "bucket", "left_semi").select("nid", "comp").distinct(), "open")
-    first = work.table(_prefixes(open_.join(sets.select("nid", "n", "shingles"), "nid"), plan), "prefixes")
-    one, two = (first.select(F.col("nid").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("n").alias(f"n_{x}"), "s") for x in "ab")
-    sized = plan.denominator * F.least("n_a", "n_b") >= plan.numerator * F.greatest("n_a", "n_b")
-    across = one.join(two, "s").where((F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & sized).select("a", "b").distinct()
+    of_bucket = placed.groupBy("bucket", "comp").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.count("*").alias("comps"), F.max_by("comp", "size").alias("largest"))
+    mixed = work.table(placed.join(of_bucket.where("comps > 1").drop("comps"), "bucket"), "mixed")
+    minor = mixed.where("comp <> largest").select("bucket", F.col("nid").alias("a"), F.col("comp").alias("comp_a")).join(_facts(sets, plan, "a"), "a")
+    other = mixed.select("bucket", F.col("nid").alias("b"), F.col("comp").alias("comp_b"), F.col("largest").alias("largest_b")).join(_facts(sets, plan, "b"), "b")
+    # both minor: one direction is enough
+    once = (F.col("comp_b") == F.col("largest_b")) | (F.col("a") < F.col("b"))
+    across = minor.join(other, "bucket").where((F.col("comp_a") != F.col("comp_b")) & once & _near(plan)).select("a", "b").distinct()
     more = _tested(work, work.table(across, "across"), sets, plan, None, "cross-links")
-    work.drop("shared", "members", "needed", "sets", "open", "prefixes", "across", "star-links-near", "cross-links-near")
+    work.drop("shared", "members", "needed", "sets", "mixed", "across", "star-links-near", "cross-links-near")
     if not more.isEmpty():
         found = work.table(components(work, links.union(more)), "components")
 
