@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm import decontam, langid, minhash, packing, quality
-from sievewright.llm.common import Workspace, read, sample_by_hash
+from sievewright.llm.common import Workspace, read
 from sievewright.llm.queries import vocabulary
 
 
@@ -21,22 +21,55 @@ def _kept(docs: DataFrame, decide) -> DataFrame:
     return decide(docs.select(*(F.col(f"`{c}`").alias(a) for c, a in aside.items()))).select(*(F.col(f"`{a}`").alias(c) for c, a in aside.items()))
 
 
-def longest_codes(spark: SparkSession, docs: DataFrame, times: float = 3.5, least: int = 20) -> dict[str, float]:
-    """Bits a byte that a text of each language (docs: text, lang) may take: `times` the median of its sampled texts.
+def medians(spark: SparkSession, values: DataFrame, bins: int = 1024) -> dict[str, tuple[int, float]]:
+    """The number of values (lang, bits; a written table) of each language, and their exact median.
 
-    Each half of the sample is coded by trees of the other half. A language with fewer than `least` texts rightly told so has no limit.
+    The ranges of the one or two middle values are narrowed by histograms until each is a single value, so no task and no driver holds more than the bins.
     """
-    sample = sample_by_hash(docs, "lang", 1500).withColumn("half", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)))
-    sample = Workspace(spark, "language").table(sample, "sample")
-    coded = [langid.predict(sample.where(F.col("half") == h), langid.train(sample.where(F.col("half") != h).select("text", "lang"))) for h in (0, 1)]
-    own = coded[0].unionAll(coded[1]).where("lang_pred = lang and bits_per_byte is not null").groupBy("lang")
-    found = own.agg(F.count("*").alias("n"), F.expr("percentile(bits_per_byte, 0.5)").alias("bits")).collect()
-    return {r["lang"]: times * r["bits"] for r in found if r["n"] >= least}
+    ends = F.count("*").alias("n"), F.min("bits").alias("lo"), F.max("bits").alias("hi")
+    whole = values.groupBy("lang").agg(*ends).collect()
+    sizes = {r["lang"]: r["n"] for r in whole}
+    # (language, rank): the values below the range, and the range's ends, which are values
+    spans = {(r["lang"], rank): (0, r["lo"], r["hi"]) for r in whole for rank in {(r["n"] - 1) // 2, r["n"] // 2}}
+    while wide := [(*key, lo, hi) for key, (_, lo, hi) in spans.items() if lo < hi]:
+        asked = F.broadcast(spark.createDataFrame(wide, "lang string, rank long, first double, last double"))
+        place = F.floor((F.col("bits") - F.col("first")) / (F.col("last") - F.col("first")) * bins)
+        rows = values.join(asked, "lang").where("bits between first and last").groupBy("lang", "rank", place.alias("bin")).agg(*ends).collect()
+        below = {key: spans[key][0] for key in spans}
+        for r in sorted(rows, key=lambda r: r["bin"]):
+            key = r["lang"], r["rank"]
+            if below[key] <= r["rank"] < below[key] + r["n"]:
+                spans[key] = below[key], r["lo"], r["hi"]
+            below[key] += r["n"]
+    return {lang: (n, (spans[lang, (n - 1) // 2][1] + spans[lang, n // 2][1]) / 2) for lang, n in sizes.items()}
+
+
+def longest_codes(spark: SparkSession, docs: DataFrame, halves: list[langid.Trees], times: float = 3.5, least: int = 20) -> dict[str, float]:
+    """Bits a byte that a text of each language (docs: text, lang, part) may take: `times` the median of all its distinct texts.
+
+    halves: the trees of parts 0 and 1; each text is coded by those of the other part. A language with fewer than `least` texts rightly told so has no limit.
+    """
+    coded = [langid.predict(docs.where(F.col("part") == part), halves[1 - part]) for part in (0, 1)]
+    own = coded[0].unionAll(coded[1]).where("lang_pred = lang and bits_per_byte is not null")
+    # equal texts have equal codes, so no text moves
+    each = own.select("lang", F.xxhash64("text").alias("h"), F.col("bits_per_byte").alias("bits")).distinct().select("lang", "bits")
+    work = Workspace(spark, "language")
+    found = medians(spark, work.table(each, "bits"))
+    work.close()
+    return {lang: times * bits for lang, (n, bits) in found.items() if n >= least}
+
+
+def learned(spark: SparkSession, docs: DataFrame) -> tuple[langid.Trees, dict[str, float]]:
+    """Trees of all distinct texts of each language (docs: text, lang), and the limits of longest_codes."""
+    rows = docs.where("text is not null and lang is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)).cast("int"))
+    counts = langid.counted(rows.distinct())
+    return langid.grown(counts), longest_codes(spark, rows, [langid.grown(counts[counts["part"] == part]) for part in (0, 1)])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter, those that no learned language clearly leads on, and those whose code is too long for the one that leads."""
-    trees, limits = langid.train(docs.select("text", "lang")), longest_codes(spark, docs.select("text", "lang"))
+    """Drops documents without a letter, those that no learned language clearly leads on, and those whose code is too long for the one that leads. Learns from all texts."""
+    trees, limits = learned(spark, docs.select("text", "lang"))
     limit = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for r in limits.items() for x in r)), F.col("lang_pred")), F.lit(float("inf"))) if limits else F.lit(float("inf"))
     keep = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= 0.3) & (F.col("bits_per_byte") <= limit)
     return _kept(docs, lambda own: langid.predict(own, trees).where(keep))

@@ -1,7 +1,7 @@
 """Language identification by prediction by partial matching over bytes.
 
-Each language has a context tree of byte strings up to `order` long, counted on a bounded sample of its training texts, chosen by hash and each counted alone, and then
-frozen: the statistics do not depend on how the table lies in files and partitions. A byte's code length in a language is -log2 of its probability in the longest known context that has seen
+Each language has a context tree of byte strings up to `order` long, counted on its training texts, each counted alone, and then frozen: the statistics do not depend on
+how the table lies in files and partitions. `train` takes a bounded sample of them, chosen by hash; `counted` and `grown` take all that they are given. A byte's code length in a language is -log2 of its probability in the longest known context that has seen
 it, plus the escapes (method C, without exclusion) from the longer known contexts that have not; the last resort is uniform over 256 bytes. A text's code
 length is the exact sum over its bytes; the language with the shortest wins, ties to the smaller name, and the score is its
 share of 2^-length among all languages.
@@ -14,6 +14,7 @@ equal results; texts are used whole; extra columns are ignored; an empty table g
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,20 @@ def grams(data: np.ndarray, length: int) -> np.ndarray:
     return codes
 
 
+def pieces(text: bytes, order: int) -> Iterator[bytes]:
+    """A text in parts of at most _CHUNK bytes, each after the `order` bytes before it; blanks stand before the first."""
+    for at in range(0, len(text), _CHUNK):
+        yield text[max(0, at - order) : at].rjust(order, b" ") + text[at : at + _CHUNK]
+
+
+def own_bytes(sizes: np.ndarray, order: int) -> np.ndarray:
+    """Which bytes of joined pieces of these sizes are their own, not the ones before."""
+    own, starts = np.ones(sizes.sum(), bool), sizes.cumsum() - sizes
+    for k in range(order):
+        own[starts + k] = False
+    return own
+
+
 class Index:
     """Row numbers of distinct integers, by open addressing in numpy arrays."""
 
@@ -137,10 +152,9 @@ class Trees:
         part: list[tuple[int, bytes]] = []
         size = 0
         for i, text in enumerate(texts):
-            for at in range(0, len(text), _CHUNK):  # a long text in pieces that know the bytes before them
-                before = text[max(0, at - self.order) : at].rjust(self.order, b" ")
-                part.append((i, before + text[at : at + _CHUNK]))
-                size += len(part[-1][1])
+            for piece in pieces(text, self.order):
+                part.append((i, piece))
+                size += len(piece)
                 if size >= _CHUNK:
                     self._add(part, out)
                     part, size = [], 0
@@ -151,36 +165,65 @@ class Trees:
     def _add(self, part: list[tuple[int, bytes]], out: np.ndarray) -> None:
         data = np.frombuffer(b"".join(t for _, t in part), np.uint8)
         sizes = np.array([len(t) for _, t in part])
-        ends = sizes.cumsum()
-        counted = np.ones(len(data), bool)
-        for k in range(self.order):
-            counted[ends - sizes + k] = False
-        lengths = self._code(grams(data, self.order + 1)[counted], self.order)
+        lengths = self._code(grams(data, self.order + 1)[own_bytes(sizes, self.order)], self.order)
         inner = sizes - self.order
         sums = np.add.reduceat(lengths, np.concatenate([[0], inner.cumsum()[:-1]]), axis=0)
         np.add.at(out, [i for i, _ in part], sums)
 
 
-def train(docs: DataFrame, order: int = 3, rows_per_language: int = 1500) -> Trees:
-    """Trees of every language in docs (text, lang), each from about `rows_per_language` distinct whole texts, chosen by hash."""
-    few = sample_by_hash(docs, "lang", rows_per_language)
+def counted(texts: DataFrame, order: int = 3) -> pd.DataFrame:
+    """lang, part, gram, n: the strings of order + 1 bytes in all texts (text, lang, part: int) of each language and part, on the driver.
+
+    Only distinct strings leave a task, and their number is bounded by the languages' strings, not by the rows.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lang, own in batch.groupby("lang"):
+        found: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+        waiting: dict[tuple[str, int], list[bytes]] = defaultdict(list)
+
+        def add() -> None:
+            for key, parts in waiting.items():
                 # each text alone, between blanks: the blanks before it are context and not counted, so counts do not depend on which texts meet
-                parts = [b" " * order + plain(t) + b" " for t in own["text"]]
-                data, ends = np.frombuffer(b"".join(parts), np.uint8), np.cumsum([len(p) for p in parts])
-                counted = np.ones(len(data), bool)
-                for k in range(order):
-                    counted[ends - [len(p) for p in parts] + k] = False
-                for size in range(1, order + 2):
-                    gram, n = np.unique(grams(data, size)[counted], return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "size": size, "gram": gram.view(np.int64), "n": n})
-
-    counts = few.mapInPandas(count, "lang string, size int, gram long, n long")
-    found = counts.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).toPandas()
-    return Trees(sorted(found["lang"].unique()), order, found)
+                strings = grams(np.frombuffer(b"".join(parts), np.uint8), order + 1)[own_bytes(np.array([len(p) for p in parts]), order)]
+                gram, n = np.unique(strings.astype(np.uint32 if order < 4 else np.uint64), return_counts=True)
+                if key in found:
+                    gram, at = np.unique(np.concatenate([found[key][0], gram]), return_inverse=True)
+                    n, each = np.zeros(len(gram), np.int64), np.concatenate([found[key][1], n])
+                    np.add.at(n, at, each)
+                found[key] = gram, n
+            waiting.clear()
+
+        size = 0
+        for batch in batches:
+            for text, lang, part in zip(batch["text"], batch["lang"], batch["part"], strict=True):
+                for piece in pieces(plain(text) + b" ", order):
+                    waiting[lang, part].append(piece)
+                    size += len(piece)
+                    if size >= 8 * _CHUNK:
+                        add()
+                        size = 0
+        add()
+        for (lang, part), (gram, n) in found.items():
+            yield pd.DataFrame({"lang": lang, "part": part, "gram": gram.astype(np.uint64).view(np.int64), "n": n})
+
+    counts = texts.select("text", "lang", "part").mapInPandas(count, "lang string, part int, gram long, n long")
+    return counts.groupBy("lang", "part", "gram").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+
+
+def grown(counts: pd.DataFrame, order: int = 3) -> Trees:
+    """Trees of the strings that `counted` gives, or of some parts of them. How often a shorter string occurs is the sum over the strings that end in it."""
+    sizes = []
+    for size in range(1, order + 2):
+        ends = counts["gram"].to_numpy().astype(np.uint64) & np.uint64((1 << (8 * size)) - 1)
+        own = pd.DataFrame({"lang": counts["lang"], "gram": ends.view(np.int64), "n": counts["n"]}).groupby(["lang", "gram"], as_index=False)["n"].sum()
+        sizes.append(own.assign(size=size))
+    return Trees(sorted(counts["lang"].unique()), order, pd.concat(sizes))
+
+
+def train(docs: DataFrame, order: int = 3, rows_per_language: int = 1500) -> Trees:
+    """Trees of every language in docs (text, lang), each from about `rows_per_language` distinct whole texts, chosen by hash."""
+    few = sample_by_hash(docs, "lang", rows_per_language)
+    return grown(counted(few.withColumn("part", F.lit(0)), order), order)
 
 
 def predict(docs: DataFrame, trees: Trees) -> DataFrame:

@@ -2,14 +2,17 @@
 
 import itertools
 import random
+import statistics
+from collections import Counter
 
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sievewright.llm import topk, toxicity, urlfilter
+from sievewright.llm import langid, topk, toxicity, urlfilter
 from sievewright.sources import xml
 from tests.llm.helpers import documents
+from tests.llm.test_models import _slow_bits, _slow_trees
 
 # exact top k
 
@@ -72,6 +75,48 @@ def test_texts_of_unlearned_languages_are_dropped(spark):
     assert kept == {r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text or ""))}
 
 
+def test_languages_and_limits_are_learned_from_all_texts(spark):
+    # more texts of a language than any sample took, one of them in many copies, and probes whose codes are about as long as the limit
+    rng = random.Random(21)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 6)))
+    kinds = {"aa": [word("abcdefghi") for _ in range(60)], "bb": [word("nopqrstuvw") for _ in range(60)]}
+    texts = {lang: sorted({" ".join(rng.choices(words, k=6)) for _ in range(n)}) for (lang, words), n in zip(kinds.items(), (4000, 50), strict=True)}
+    probes = [" ".join([*rng.choices(kinds["aa"], k=rng.randint(1, 9)), *(word("abcdefghijklm") for _ in range(rng.randint(1, 5)))]) for _ in range(400)]
+    rows = [(t, lang) for lang, own in texts.items() for t in own] + [(texts["aa"][0], "aa")] * 3000 + [(t, None) for t in probes]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string").repartition(8)
+
+    half = {r.text: r.half for r in docs.select("text", F.pmod(F.xxhash64("text", F.lit(1)), F.lit(2)).alias("half")).distinct().collect()}
+    coded = lambda trees, text: {lang: _slow_bits(tree, text, 3) for lang, tree in trees.items()}
+    of_half = [_slow_trees({lang: [t for t in own if half[t] == h] for lang, own in texts.items()}, 3) for h in (0, 1)]
+    limits = {}
+    for lang, own in texts.items():
+        codes = [(t, coded(of_half[1 - half[t]], t)) for t in own]
+        limits[lang] = 3.5 * statistics.median(bits[lang] / len(t) for t, bits in codes if min(bits, key=bits.get) == lang)
+    trees, want = _slow_trees(texts, 3), set()
+    for text in {t for t, _ in rows}:
+        bits = coded(trees, text)
+        best = min(bits, key=bits.get)
+        if 1 / sum(2.0 ** max(bits[best] - x, -1000) for x in bits.values()) >= 0.3 and bits[best] / len(text) <= limits[best]:
+            want.add(text)
+    assert 50 < len(want & set(probes)) < 350
+    kept = corpus_pipeline.language(spark, docs, "unused").collect()
+    assert {r.text for r in kept} == want and len(kept) == sum(t in want for t, _ in rows)
+
+
+def test_medians_and_counts_are_exact(spark):
+    rng = random.Random(4)
+    values = {"odd": [rng.random() for _ in range(301)], "even": [rng.choice((1.0, 1.0 + 1e-12, 9.0)) for _ in range(300)], "apart": [1.0, 1.5, 7.0, 9.0], "one": [2.5], "same": [3.0] * 8}
+    rows = spark.createDataFrame([(lang, x) for lang, own in values.items() for x in own], "lang string, bits double").repartition(3)
+    assert corpus_pipeline.medians(spark, rows, bins=3) == {lang: (len(own), statistics.median(own)) for lang, own in values.items()}
+    # a text of several pieces, and none at all
+    text = "".join(rng.choices("ab ", k=2 * langid._CHUNK + 9))
+    docs = spark.createDataFrame([(text, "aa", 1)], "text string, lang string, part int")
+    data = b"   " + langid.plain(text) + b" "
+    want = Counter(int.from_bytes(data[i : i + 4]) for i in range(len(data) - 3))
+    assert {(r.lang, r.part, r.gram): r.n for r in langid.counted(docs).itertuples()} == {("aa", 1, g): n for g, n in want.items()}
+    assert not langid.grown(langid.counted(docs.limit(0))).languages
+
+
 # XML
 
 
